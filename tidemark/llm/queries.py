@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import reduce
 
-from tidemark.llm import nearest, packing, tokens
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from tidemark.functions.text import record_key, utrim
+from tidemark.llm import history, nearest, packing, reading, tokens
+from tidemark.session import fresh_dir, written
 from tidemark.sources.tables import table
 
 TOLERANCE_MS = 600_000
@@ -22,6 +26,54 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return packets.join(found, ["entity", "q"]).select("packet_id", "symbol", F.col("id").alias("snapshot_id")).distinct()
 
 
+#: What stands for no key, and the SHA-256 of an empty text.
+PLACEHOLDERS = ["", "unknown", "-", "n/a"]
+EMPTY_HASH = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+
+
+def _named(c: Column) -> Column:
+    """Null for placeholders: blank, unknown, -, n/a, all zeros."""
+    return F.when(~c.isin(PLACEHOLDERS) & ~c.rlike("^0+$"), c)
+
+
+def dedup_key(c: Column) -> Column:
+    """A key without letter case, scheme, fragment, tracking parameters, surrounding blanks and slashes."""
+    bare = F.regexp_replace(F.lower(utrim(c)), "#.*$", "")
+    bare = F.regexp_replace(bare, "https?://", "")
+    path, query = F.substring_index(bare, "?", 1), F.when(F.contains(bare, F.lit("?")), F.substring(bare, F.instr(bare, "?") + 1, F.length(bare)))
+    kept = F.filter(F.split(query, "&"), lambda p: ~p.rlike("^(utm_[^=]*|trk|ref)(=|$)") & (p != ""))
+    ends = lambda x: F.regexp_replace(x, r"^[\s/]+|[\s/]+$", "")
+    return _named(ends(F.when(F.size(kept) > 0, F.concat(ends(path), F.lit("?"), F.array_join(kept, "&"))).otherwise(ends(path))))
+
+
+def content_hash(c: Column) -> Column:
+    """A hash without algorithm prefix and letter case."""
+    bare = _named(F.regexp_replace(F.lower(utrim(c)), "^[a-z0-9-]+:", ""))
+    return F.when(bare != EMPTY_HASH, bare)
+
+
+def p4_found(spark: SparkSession, d: str, steps: int = 2) -> DataFrame:
+    """Events that repeat an accepted one, given to the store in `steps` batches of rising time."""
+    first = F.struct(F.col("created_at_ms").isNull().alias("none"), "created_at_ms", "delivery_id")
+    pointers = table(spark, d, "raw_event_pointers").select(record_key(F.col("event_id")).alias("id"), "created_at_ms", "delivery_id", "dedup_key", "content_hash").where("id is not null")
+    keys = F.array(history.key_of("dedup", dedup_key(F.col("m.dedup_key"))), history.key_of("hash", content_hash(F.col("m.content_hash"))))
+    events = pointers.groupBy("id").agg(F.min(F.struct(first.alias("at"), "dedup_key", "content_hash")).alias("m")).select("id", F.col("m.at.created_at_ms").alias("at"), keys.alias("keys"))
+    events = written(events, "events")
+    bodies = table(spark, d, "raw_events").where("content_kind is null or content_kind <> 'derivatives_snapshot'").select(record_key(F.col("event_id")).alias("id"), "body")
+    signed = written(history.sign(bodies.where("id is not null and body is not null"), history.Likeness()), "signed")
+    low, high = events.agg(F.min("at"), F.max("at")).first()
+    store, found = history.History(spark, fresh_dir(spark, "history")), []
+    for k in range(steps):
+        if low is None:
+            mine = events if k == 0 else events.limit(0)
+        else:
+            step = F.coalesce(F.least(F.floor((F.col("at") - F.lit(low)) / F.lit((high - low) // steps + 1)), F.lit(steps - 1)), F.lit(steps - 1))
+            mine = events.where(step == k)
+        found.append(store.admit(mine, signed))
+    pairs = reduce(DataFrame.unionByName, found)
+    return pairs.select(F.least("id", "of_id").alias("event_id_a"), F.greatest("id", "of_id").alias("event_id_b")).distinct()
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode(table(spark, d, "documents"))
 
@@ -33,8 +85,18 @@ def p9_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(sizes, docs.count())
 
 
+def p10_levels(spark: SparkSession, d: str) -> DataFrame:
+    return reading.reading_levels(table(spark, d, "documents"), table(spark, d, "reading_labels")).select("doc_id", "reading_level")
+
+
+def p10_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Documents per language and rounded level."""
+    levels = p10_levels(spark, d).select("doc_id", F.round("reading_level").cast("int").alias("level"))
+    return table(spark, d, "documents").select("doc_id", "lang").join(levels, "doc_id").groupBy("lang", "level").agg(F.count("*").alias("n_docs"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p3_found, p8_ids, p9_containers)}
+    return {f.__name__: f for f in (p3_found, p4_found, p8_ids, p9_containers, p10_levels, p10_profile)}
 
 
 _NEAREST = r"""

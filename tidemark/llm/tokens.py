@@ -120,8 +120,10 @@ def encode(documents: DataFrame, vocabulary: str = VOCABULARY, piece_chars: int
 
     is_long = F.coalesce(F.length("text") > piece_chars, F.lit(False))
     short = docs.where(~is_long).select("doc_id", ids_of("text").alias("ids"))
-    cut = docs.where(is_long).select("doc_id", F.uuid().alias("row"), halves("text").alias("h"))
-    rows = cut.select("doc_id", "row", F.posexplode("h").alias("k", "h")).select("doc_id", "row", "k", "h.sure", "h.piece").repartition("row", "k")
+    cut = docs.where(is_long).select("doc_id", F.xxhash64("text").alias("row"), halves("text").alias("h"))
+    rows = cut.select("doc_id", "row", F.posexplode("h").alias("k", "h")).select("doc_id", "row", "k", "h.sure", "h.piece").repartition("doc_id", "row", "k")
     coded = rows.select("doc_id", "row", "k", "sure", ids_of("piece").alias("ids"))
-    parts = coded.groupBy("doc_id", "row").agg(F.array_sort(F.collect_list(F.struct("k", "sure", "ids"))).alias("parts"))
-    return short.unionByName(parts.select("doc_id", whole("parts").alias("ids")))
+    parts = coded.groupBy("doc_id", "row").agg(F.array_sort(F.collect_set(F.struct("k", "sure", "ids"))).alias("parts"), F.count("*").alias("n"))
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.call_function("div", F.col("n"), F.size("parts").cast("long"))))
+    long = parts.select("doc_id", whole("parts").alias("ids"), copies.alias("copy")).drop("copy")
+    return short.unionByName(long)
