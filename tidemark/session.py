@@ -34,7 +34,7 @@ def written(df: DataFrame, name: str = "cut") -> DataFrame:
     uses the result computes it twice.
     """
     path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
