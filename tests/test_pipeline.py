@@ -3,7 +3,7 @@ import hashlib
 from pyspark.sql import functions as F
 
 from tidemark.functions import ids
-from tidemark.operators import gates, market, rules, stories
+from tidemark.operators import gates, market, packets, rules, stories
 
 EVENT = (
     "event_id string, title string, body string, source_id string, source_category string, trust_tier string, symbol_candidates array<string>, published_at_ms long, fetched_at_ms long,"
@@ -110,3 +110,26 @@ def test_stories_merge_conflicts_and_running_counts(spark):
     story = {r.event_count: r for r in stories.merge(made).collect()}
     assert (story[2].source_count, story[2].conflict_level, story[2].trust_mix) == (2, "low", "unknown=1,T1=1") and story[1].conflict_level == "none"
     assert {(r.event_id, r.events_so_far, r.sources_so_far) for r in stories.running(made).collect()} == {("a", 1, 1), ("b", 2, 2), ("c", 1, 1)}
+
+
+def test_responses_citations_and_families(spark):
+    events = spark.createDataFrame([("a",), ("b",), ("c",)], "event_id string")
+    raw = [
+        ("a", "primary", 'text {"confidence": 0.7, "confidence_band": "high"} tail'), ("a", "primary", 'text {"confidence": 0.7, "confidence_band": "high"} tail'),
+        ("b", "primary", '{"confidence": 7, "confidence_band": "high"}'), ("b", "primary", None), ("c", "escalation", '{"confidence": 1, "confidence_band": "low"}'), ("a", "primary", "no object"),
+    ]
+    responses = spark.createDataFrame(raw, "event_id string, stage string, raw string")
+    assert {(r.event_id, r.band, r.score) for r in packets.with_responses(events, responses, "primary").collect()} == {("a", "high", 0.7), ("b", None, None), ("c", None, None)}
+    pack = spark.createDataFrame([("a", ["E2", "E1"], {"E1": "x", "E2": "y"}), ("b", ["E9"], {"E1": "x"}), ("c", [], {})], "event_id string, ids array<string>, excerpts map<string,string>")
+    assert {r.event_id: r.cited for r in packets.cited(F.col("ids"), pack).collect()} == {"a": ["y", "x"], "b": None, "c": []}
+    rows = [("p", " ", None, ["", "s"]), ("q", "f", "r", []), ("r", None, "raw", None), ("t", None, " ", [])]
+    df = spark.createDataFrame(rows, "packet_id string, packet_family_id string, raw_event_id string, source_event_ids array<string>")
+    assert [r[0] for r in df.select(packets.family_id(df)).collect()] == ["s", "f", "raw", "t"]
+
+
+def test_supported_sentences_and_retry_times(spark):
+    df = spark.createDataFrame([(["A List"], "t", "x a LIST"), (["gone"], "t", "x"), ([], None, None)], "s array<string>, t string, b string")
+    got = [r[0] for r in df.select(packets.supported(F.col("s"), rules.text("t"), rules.text("b"))).collect()]
+    assert got == [True, False, True]
+    df = spark.createDataFrame([("pending", 5), ("available", 5), (None, 5)], "st string, at long")
+    assert [tuple(r) for r in df.select(*packets.retry_times(F.col("st"), F.col("at"), 0, 10)).collect()] == [(6, 15), (None, None), (None, None)]

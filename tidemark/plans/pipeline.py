@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.ids import content_sha, dated_key, run_id, sampled, short_id
 from tidemark.functions.text import floor_to
-from tidemark.operators import gates, market, rules, stories
+from tidemark.operators import gates, market, packets, rules, stories
 from tidemark.sources.tables import table
 
 POLICY = "policy_v1"
@@ -184,7 +184,45 @@ def keys_by_prefix(spark, d):
     return k.withColumn("pos", F.row_number().over(Window.partitionBy("prefix").orderBy("index_key"))).where("pos <= 20")
 
 
+def packet_times(spark, d):
+    t = packets.times(rules.hints(_assessed(spark, d)))
+    return t.select("event_id", "decision_available_at_ms", "relevant_from_ms", "relevant_to_ms", "source_quality_summary")
+
+
+def text_evidence(spark, d):
+    return packets.text_evidence(_assessed(spark, d))
+
+
+def evidence_supported(spark, d):
+    """Events per type, and how many have all their sentences in the first 50,000 characters of their text."""
+    ok = packets.supported(F.col("evidence"), rules.text("title"), rules.text("body"))
+    return _assessed(spark, d).groupBy("event_type").agg(F.count("*").alias("n_events"), F.count(F.when(ok, 1)).alias("n_supported"), F.sum(F.size("evidence")).alias("n_sentences"))
+
+
+def packet_families(spark, d):
+    p = table(spark, d, "structured_packets").distinct()
+    return p.select("packet_id", packets.family_id(p).alias("family_id"), "revision")
+
+
+def retry_schedule(spark, d):
+    p = table(spark, d, "structured_packets").distinct()
+    retry, expire = packets.retry_times(F.col("market_context_status"), F.col("decision_available_at_ms"))
+    return p.select("packet_id", retry.alias("retry_after_ms"), expire.alias("expire_at_ms"))
+
+
+def stories_applied(spark, d):
+    made = rules.hints(_assessed(spark, d))
+    made = made.withColumn("story_hint_key", stories.story_key(made))
+    return packets.apply_stories(made.select("event_id", "story_hint_key").distinct(), stories.merge(made)).select("event_id", "cluster_id", "event_count", "conflict_level", "health")
+
+
+def output_manifest(spark, d):
+    lines = table(spark, d, "raw_object_lines").where("payload is not null").select("record_kind", "object_key", "line_number", "payload").distinct()
+    return packets.output_manifest(lines, "object_key", "record_kind", "payload")
+
+
 QUERIES = (
+    packet_times, text_evidence, evidence_supported, packet_families, retry_schedule, stories_applied, output_manifest,
     rule_assessment, decision_matrix, rule_hints, symbols_normalized, evidence_pack, quality_gates, metric_evidence, symbol_trace, deterministic_ids,
     object_keys, key_errors, hash_sample, pointer_errors, forbidden_terms, document_terms, unprocessed_events, jsonl_locators, index_admission,
     window_radius_join, asof_window, first_slices, context_status, story_clusters, story_running, latest_revisions, health_by_tier, event_grid,
@@ -341,9 +379,37 @@ WHERE i.status = 'success' AND i.schema_version = 'l1_index_pointer_v1' AND i.sc
   AND {' AND '.join(f'r.{c} IS NOT DISTINCT FROM m.{c}' for c in ('output_object_keys', *market.PROJECTIONS))}"""
 
 
+_DIRECT = f"""len(evidence) = 0 AND coalesce(len(symbol_candidates), 0) = 1 AND {_SCOPE} = 'direct_asset' AND coalesce(direct_asset_count, 0) = 1
+  AND {_CQ} NOT IN ('title_only', 'metadata_fallback', 'unknown') AND coalesce(content_quality_score >= 45, true)
+  AND len(string_split({trim(f"regexp_replace({txt('body')}, '{_WS}+', ' ', 'g')")}, ' ')) >= 8"""
+_STAND_IN = _PACK.replace(f"WITH {_E},", f"WITH {_A}, z AS (SELECT * FROM a WHERE {_DIRECT}),").replace(" FROM e\n), s AS", " FROM z\n), s AS").replace(
+    "SELECT event_id, 'E' || pos AS rank, substring(excerpt, 1, 420) AS excerpt, CAST(score AS INTEGER) AS score FROM o WHERE pos <= 10",
+    f"""SELECT event_id, CAST(pos - 1 AS INTEGER) AS position, 'source_excerpt' AS kind, substring(excerpt, 1, 360) AS sentence FROM o WHERE pos <= 2
+UNION ALL SELECT event_id, CAST(generate_subscripts(ev, 1) - 1 AS INTEGER), 'source_sentence', unnest(ev) FROM (SELECT event_id, list_filter(evidence, lambda s: {trim('s')} <> '') AS ev FROM a)""",
+)
+
+
 def oracle_sql() -> dict[str, str]:
+    widths = " ".join(f"WHEN '{k}' THEN {w}" for k, w in packets.WIDTHS.items())
+    decay = f"CASE WHEN {_KIND('incident', 'regulatory')} THEN 'multi_day' WHEN event_type = 'macro_event' THEN 'day' ELSE 'hours' END"
+    lost = "list_filter(source_event_ids, lambda s: " + trim("s") + " <> '')[1]"
+    named = lambda c: f"CASE WHEN NOT {_BLANK(c)} THEN {c} END"
+    waits = "CASE WHEN market_context_status IN ('pending', 'unavailable') THEN decision_available_at_ms + {} END"
+    more = {
+        "packet_times": f"""WITH {_A} SELECT event_id, greatest(published_at_ms, fetched_at_ms, observed_at_ms) AS decision_available_at_ms, coalesce(published_at_ms, fetched_at_ms) AS relevant_from_ms,
+  coalesce(published_at_ms, fetched_at_ms) + CASE {decay} {widths} END AS relevant_to_ms, {txt('trust_tier')} || ' source ' || {txt('source_id')} || ' freshness_ms=' || (observed_at_ms - fetched_at_ms)
+  || ' content_quality=' || {_CQ} || ' score=' || coalesce(CAST(content_quality_score AS VARCHAR), 'unknown') || ' source_quality=' || {_SQ} || ' relevance_scope=' || coalesce(source_relevance_scope, 'unknown') AS source_quality_summary FROM a""",
+        "text_evidence": _STAND_IN,
+        "evidence_supported": f"""WITH {_A}, s AS (SELECT event_type, evidence, {low(f"{txt('title')} || chr(10) || chr(10) || substring({txt('body')}, 1, 50000)")} AS src FROM a)
+  SELECT event_type, count(*) AS n_events, count(CASE WHEN len(list_filter(evidence, lambda x: NOT contains(src, {low('x')}))) = 0 THEN 1 END) AS n_supported, CAST(sum(len(evidence)) AS BIGINT) AS n_sentences FROM s GROUP BY event_type""",
+        "packet_families": f"SELECT packet_id, coalesce({named('packet_family_id')}, {named('raw_event_id')}, {lost}, packet_id) AS family_id, revision FROM (SELECT DISTINCT * FROM structured_packets)",
+        "retry_schedule": f"SELECT packet_id, {waits.format(300000)} AS retry_after_ms, {waits.format(21600000)} AS expire_at_ms FROM (SELECT DISTINCT * FROM structured_packets)",
+        "stories_applied": f"""WITH m AS ({_MERGED}), k AS (WITH {_A} SELECT DISTINCT event_id, {_HINT} AS story_hint_key FROM a)
+  SELECT event_id, cluster_id, event_count, conflict_level, CASE WHEN conflict_level = 'high' THEN 'degraded' ELSE 'healthy' END AS health FROM k JOIN m ON k.story_hint_key = m.story_hint_key""",
+        "output_manifest": "SELECT record_kind, object_key, count(*) AS record_count, CAST(sum(strlen(payload) + 1) AS BIGINT) AS byte_count FROM (SELECT DISTINCT record_kind, object_key, line_number, payload FROM raw_object_lines WHERE payload IS NOT NULL) GROUP BY ALL",
+    }
     pick = lambda c: f"array_to_string({c}, '|') AS {c}"
-    return {
+    return more | {
         "rule_assessment": f"WITH {_A} SELECT event_id, event_type, {pick('symbols')}, symbol_band, {pick('evidence')}, {pick('flags')}, confidence, confidence_band, decision FROM a",
         "decision_matrix": f"WITH {_A} SELECT event_type, decision, count(*) AS n_events, avg(confidence) AS mean_confidence FROM a GROUP BY ALL",
         "rule_hints": f"""WITH {_A} SELECT event_id, CASE WHEN {_KIND('macro_event', 'regulatory')} THEN 'risk_off' WHEN event_type = 'social_hype' THEN 'social_mania' WHEN event_type = 'other' THEN 'uncertain' ELSE 'event_driven' END AS regime_hint,
