@@ -19,6 +19,11 @@ def object_key(c: Column, prefix: str) -> Column:
     return F.nullif(F.regexp_replace(bare, r"(?U)^[\s/]+|[\s/]+$", ""), F.lit(""))
 
 
+def day_utc(ms: Column) -> Column:
+    """yyyy-MM-dd of epoch milliseconds, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(ms / F.lit(86_400_000)).cast("int")).cast("string")
+
+
 def references(rows: DataFrame, table: str, record: str, key: str, at_ms: str, prefix: str) -> DataFrame:
     """(from_table, record_key, ref_key, ref_ms) of every non-blank reference."""
     return rows.select(
@@ -47,7 +52,7 @@ def orphans(refs: DataFrame, stored: DataFrame, prefix: str) -> DataFrame:
     )
     gone = known.where("not live").select("ref_key", "ref_ms", F.when(F.col("before"), "deleted").otherwise("late").alias("reason"))
     bad = missing.unionByName(gone).withColumnsRenamed({"ref_key": "k", "ref_ms": "t"})
-    day = F.date_format(F.timestamp_millis("ref_ms"), "yyyy-MM-dd")
+    day = day_utc(F.col("ref_ms"))
     return refs.join(bad, (F.col("ref_key") == F.col("k")) & F.col("ref_ms").eqNullSafe(F.col("t"))).select(
         "from_table", "record_key", day.alias("day_utc"), "reason", "ref_key"
     )
@@ -55,7 +60,7 @@ def orphans(refs: DataFrame, stored: DataFrame, prefix: str) -> DataFrame:
 
 def orphan_counts(refs: DataFrame, found: DataFrame) -> DataFrame:
     """Orphans of each reason beside all references, per table and day."""
-    day = F.date_format(F.timestamp_millis("ref_ms"), "yyyy-MM-dd")
+    day = day_utc(F.col("ref_ms"))
     total = refs.groupBy("from_table", day.alias("day_utc")).agg(F.count("*").alias("n_references"))
     n_of = lambda r: F.count(F.when(F.col("reason") == r, 1)).alias(f"n_{r}")
     bad = found.groupBy(F.col("from_table").alias("ft"), F.col("day_utc").alias("d")).agg(n_of("missing"), n_of("deleted"), n_of("late"))
