@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,13 +31,33 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str = "cut") -> DataFrame:
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes what `written` wrote inside, but for tables it was told to keep.
+
+    Only for steps whose result no longer reads the rest.
+    """
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            fs, at = hadoop_fs(spark, path)
+            fs.delete(at, True)
+
+
+def written(df: DataFrame, name: str = "cut", keep: bool = False) -> DataFrame:
     """df, written as Parquet in the shared folder and read again.
 
     Cuts the lineage: a lost executor costs no more than a new read, and no branch that
     uses the result computes it twice.
     """
     path = fresh_dir(df.sparkSession, name)
+    if _scratch and not keep:
+        _scratch[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
