@@ -31,26 +31,24 @@ def flag_set(flags: Column) -> Column:
 def merge(assessed: DataFrame) -> DataFrame:
     """One row per story, over distinct events; sets come out joined and sorted.
 
-    Two steps: per story and trust tier, then per story, both with map-side partial
-    aggregation.
+    What is gathered per story is bounded by the number of types, flags and tiers;
+    sources are counted, never collected, so a story may hold any share of all events.
     """
     rows = assessed.withColumn("story_hint_key", story_key(assessed)).dropDuplicates(["story_hint_key", "event_id"])
-    tier = rows.groupBy("story_hint_key", "trust_tier").agg(
-        F.count("*").alias("n"), F.collect_set("source_id").alias("sources"), F.collect_set("event_type").alias("types"),
-        F.array_distinct(F.flatten(F.collect_set("flags"))).alias("flags"), F.max("observed_at_ms").alias("last"), F.min("published_at_ms").alias("first"), F.max("novelty_score").alias("novelty"),
-    )
-    all_ = tier.groupBy("story_hint_key").agg(
-        F.sum("n").alias("event_count"), F.array_distinct(F.flatten(F.collect_list("sources"))).alias("sources"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("types")))).alias("types"), F.array_distinct(F.flatten(F.collect_list("flags"))).alias("flags"),
-        F.max("last").alias("last_updated_ms"), F.min("first").alias("first_published_ms"), F.max("novelty").alias("novelty_score"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("trust_tier", "n"))), lambda x: F.concat(F.coalesce(x["trust_tier"], F.lit("unknown")), F.lit("="), x["n"].cast("string"))), ",").alias("trust_mix"),
+    tiers = rows.groupBy("story_hint_key", "trust_tier").agg(F.count("*").alias("n")).groupBy("story_hint_key").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("trust_tier", "n"))), lambda x: F.concat(F.coalesce(x["trust_tier"], F.lit("unknown")), F.lit("="), x["n"].cast("string"))), ",").alias("trust_mix")
     )
+    all_ = rows.groupBy("story_hint_key").agg(
+        F.count("*").alias("event_count"), F.count_distinct("source_id").alias("source_count"), F.array_sort(F.collect_set("event_type")).alias("types"),
+        F.array_compact(F.array(*[F.when(F.max(F.array_contains("flags", f)), f) for f in FLAGS])).alias("flags"),
+        F.max("observed_at_ms").alias("last_updated_ms"), F.min("published_at_ms").alias("first_published_ms"), F.max("novelty_score").alias("novelty_score"),
+    ).join(tiers, "story_hint_key")
     flags = F.when(F.size("types") > 1, F.array_union("flags", F.array(F.lit("source_claim_conflict")))).otherwise(F.col("flags"))
     out = all_.withColumn("flags", flag_set(flags))
-    f, n = F.col("flags"), F.size("sources")
+    f, n = F.col("flags"), F.col("source_count")
     level = F.when(F.array_contains(f, "source_claim_conflict") | F.array_contains(f, "rumor_vs_official"), "high").when(F.size(f) > 0, "medium").when(n > 1, "low").otherwise("none")
     return out.select(
-        "story_hint_key", short_id("story", F.col("story_hint_key"), F.lit("v1")).alias("cluster_id"), "event_count", n.cast("long").alias("source_count"),
+        "story_hint_key", short_id("story", F.col("story_hint_key"), F.lit("v1")).alias("cluster_id"), "event_count", "source_count",
         F.when(F.size("types") == 1, F.col("types")[0]).otherwise("mixed_topic_conflict").alias("primary_topic"), F.array_join("types", ",").alias("topics"),
         F.array_join("flags", ",").alias("flags"), level.alias("conflict_level"), "trust_mix", "last_updated_ms", "first_published_ms", "novelty_score",
     )
