@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.text import record_key, utrim
 from tidemark.llm import history, nearest, packing, reading, tokens
-from tidemark.session import fresh_dir, written
+from tidemark.session import fresh_dir, scratch, written
 from tidemark.sources.tables import table
 
 TOLERANCE_MS = 600_000
@@ -54,6 +54,11 @@ def content_hash(c: Column) -> Column:
 
 def p4_found(spark: SparkSession, d: str, steps: int = 2) -> DataFrame:
     """Events that repeat an accepted one, given to the store in `steps` batches of rising time."""
+    with scratch(spark):
+        return _repeats(spark, d, steps)
+
+
+def _repeats(spark: SparkSession, d: str, steps: int) -> DataFrame:
     first = F.struct(F.col("created_at_ms").isNull().alias("none"), "created_at_ms", "delivery_id")
     pointers = table(spark, d, "raw_event_pointers").select(record_key(F.col("event_id")).alias("id"), "created_at_ms", "delivery_id", "dedup_key", "content_hash").where("id is not null")
     keys = F.array(history.key_of("dedup", dedup_key(F.col("m.dedup_key"))), history.key_of("hash", content_hash(F.col("m.content_hash"))))
