@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.ordered import neighbours
+from tidemark.session import written
 
 RESCUED = "_rescued"
 PARSED = "ok boolean, record_id string, names array<string>, types array<string>, values array<string>"
@@ -90,6 +91,7 @@ def changes(parsed: DataFrame, bucket_ms: int = 86_400_000) -> DataFrame:
         .where("previous is not null")
         .select("stream_id", F.col("object_key").alias("file"), F.col("previous.object_key").alias("before"))
     )
+    pairs = written(pairs, "pairs")
     flat = fields(parsed)
     inventory = flat.groupBy("stream_id", "object_key", "name").agg(F.array_sort(F.collect_set("type")).alias("types"))
     new = inventory.withColumnRenamed("object_key", "file").join(pairs.select("stream_id", "file"), ["stream_id", "file"])
@@ -100,6 +102,7 @@ def changes(parsed: DataFrame, bucket_ms: int = 86_400_000) -> DataFrame:
         F.when(F.col("types").isNull(), "removed").when(F.col("old_types").isNull(), "added")
         .when((F.size("types") > 0) & (F.size("old_types") > 0) & (F.col("types") != F.col("old_types")), "type_changed").alias("kind"),
     ).where("kind is not null")
+    state = written(state, "state")
     last = flat.where("record_id is not null and type is not null").groupBy("stream_id", "object_key", "record_id", "name").agg(F.max_by("value", "line_number").alias("value"))
     gone = (
         last.withColumnRenamed("object_key", "before").join(pairs, ["stream_id", "before"])
@@ -115,6 +118,7 @@ def changes(parsed: DataFrame, bucket_ms: int = 86_400_000) -> DataFrame:
     match = gone.join(come, ["stream_id", "file", "record_id"]).groupBy("stream_id", "file", "old_name", "new_name").agg(F.count(F.when(same, 1)).alias("n"), F.count(F.when(~same, 1)).alias("bad"))
     rank = lambda side: F.row_number().over(Window.partitionBy("stream_id", "file", side).orderBy(F.desc("n"), "old_name", "new_name"))
     renamed = match.where("n > 0 and bad = 0").withColumn("i", rank("old_name")).withColumn("j", rank("new_name")).where("i = 1 and j = 1").select("stream_id", "file", "old_name", "new_name")
+    renamed = written(renamed, "renamed")
     explained = renamed.select("stream_id", "file", F.col("old_name").alias("name"), F.lit("removed").alias("kind")).unionByName(
         renamed.select("stream_id", "file", F.col("new_name").alias("name"), F.lit("added").alias("kind"))
     )
