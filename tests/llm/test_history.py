@@ -108,6 +108,14 @@ def test_a_large_group_of_near_copies_in_small_buckets(spark, tmp_path):
     assert set(feed(spark, str(tmp_path / "h"), records, 2)) == {(f"e{k:03}", "e000") for k in range(1, 120)}
 
 
+def test_a_crowded_bucket_of_copies_that_differ_at_the_end(spark, tmp_path):
+    rnd = random.Random(11)
+    base, other = ([rnd.choice(WORDS) for _ in range(60)] for _ in range(2))
+    records = [(f"e{k:03}", [f"k{k}"], [*(other if k % 5 == 3 else base), f"last{k}"]) for k in range(150)]
+    want = {(f"e{k:03}", "e003" if k % 5 == 3 else "e000") for k in range(150)} - {("e000", "e000"), ("e003", "e003")}
+    assert set(feed(spark, str(tmp_path / "h1"), records, 1)) == want and set(feed(spark, str(tmp_path / "h2"), records, 2)) == want
+
+
 def test_settle_takes_chains_in_order(spark):
     held = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (3, "b"), (4, "c"), (5, "d")], "rank long, key string")
     near = spark.createDataFrame([("c", "d"), ("d", "c")], "key string, other string")
