@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -56,10 +57,10 @@ def sequential(records):
     return out
 
 
-def feed(spark, path, records, batches):
-    store, out = History(spark, path), []
+def feed(spark, path, records, batches, rule=Likeness()):
+    store, out = History(spark, path, rule), []
     size = -(-len(records) // batches)
-    signed = sign(spark.createDataFrame([(i, " ".join(t)) for i, _, t in records], "id string, body string"), Likeness())
+    signed = sign(spark.createDataFrame([(i, " ".join(t)) for i, _, t in records], "id string, body string"), rule)
     for n in range(batches):
         rows = [(i, n * size + k, keys) for k, (i, keys, _) in enumerate(records[n * size : (n + 1) * size])]
         df = spark.createDataFrame(rows, "id string, at long, keys array<string>").withColumn("keys", F.transform("keys", lambda k: key_of("k", k)))
@@ -116,6 +117,31 @@ def test_a_crowded_bucket_of_copies_that_differ_at_the_end(spark, tmp_path):
     assert set(feed(spark, str(tmp_path / "h1"), records, 1)) == want and set(feed(spark, str(tmp_path / "h2"), records, 2)) == want
 
 
+def templated(n, rnd, words, own, tag):
+    """n texts of one template: the same words but for `own` at the end, so no two are alike."""
+    base = [rnd.choice(WORDS) for _ in range(words - own)]
+    return [(f"{tag}{k:05}", [f"{tag}{k}"], base + [f"{tag}{k}x{j}" for j in range(own)]) for k in range(n)]
+
+
+def repeat_of(record, edits):
+    i, _, text = record
+    return (f"z{i}", [f"z{i}"], text[:-edits] + [f"z{i}x{j}" for j in range(edits)])
+
+
+def test_later_accepted_texts_of_a_crowded_bucket_have_repeats(spark, tmp_path):
+    rule = Likeness(bands=3, rows=1, bucket=8, near=-1.0)
+    texts = templated(400, random.Random(5), 40, 9, "t")
+    records = texts + [repeat_of(r, 3) for r in texts[300:]]
+    same = lambda r: signatures([r[2]], rule, {})[0].tolist()
+    buckets = Counter(str(same(r)) for r in texts)
+    crowded, size = buckets.most_common(1)[0]
+    assert size >= 200
+    want = {(f"z{r[0]}", r[0]) for r in texts[300:] if str(same(r)) == str(same(repeat_of(r, 3))) == crowded}
+    assert len(want) > 20
+    got = set(feed(spark, str(tmp_path / "h"), records, 1, rule))
+    assert want <= got and all(i == "z" + of for i, of in got)
+
+
 def test_settle_takes_chains_in_order(spark):
     held = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (3, "b"), (4, "c"), (5, "d")], "rank long, key string")
     near = spark.createDataFrame([("c", "d"), ("d", "c")], "key string, other string")

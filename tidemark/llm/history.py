@@ -135,10 +135,12 @@ def sign(texts: DataFrame, rule: Likeness) -> DataFrame:
 
 #: Keys that may be broadcast to filter rows, some 16 MB; beyond that a shuffle join does it.
 MOST_BROADCAST = 1_000_000
-#: Bands that a bucket's key has at most, and members of a crowded bucket that all its texts
-#: are compared with in each turn: the earliest, then the earliest accepted ones.
+#: Bands that a bucket's key has at most.
 DEPTH = 3
-LEADERS = [1, 64, 4096]
+#: Texts of a crowded bucket that the others are compared with in the first, second and each
+#: further turn, and parts that the others are dealt to, so no task gets a whole bucket.
+BLOCKS = [1, 64, 1024]
+SALTS = 16
 
 
 def narrowed(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
@@ -227,7 +229,24 @@ def _verified(pairs: DataFrame, texts: DataFrame, other: DataFrame, rule: Likene
     side = lambda t, c, s: t.select(F.col("text_key").alias(s), F.col(c).alias(f"{c}_{s}"))
     pairs = pairs.where("a <> b").distinct()
     close = pairs.join(side(texts, "bits", "a"), "a").join(side(other, "bits", "b"), "b").where(_agreeing(bits) >= least).select("a", "b")
-    close = written(close, "close")
+    return _exactly(written(close, "close"), texts, other, rule)
+
+
+def _across(mine: DataFrame, theirs: DataFrame, rule: Likeness) -> DataFrame:
+    """Pairs (a of mine, b of theirs) that share a bucket and whose signatures are close enough.
+
+    mine, theirs(band, text_key, bits). Signatures are compared where the pairs arise, so
+    pairs that are not close are never shuffled.
+    """
+    bits = rule.bands * rule.rows
+    a = mine.select("band", F.pmod("text_key", F.lit(SALTS)).cast("int").alias("salt"), F.col("text_key").alias("a"), F.col("bits").alias("bits_a"))
+    b = theirs.select("band", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.col("text_key").alias("b"), F.col("bits").alias("bits_b"))
+    return a.join(b, ["band", "salt"]).where((F.col("a") != F.col("b")) & (_agreeing(bits) >= bits * (1 + rule.near) / 2)).select("a", "b").distinct()
+
+
+def _exactly(close: DataFrame, texts: DataFrame, other: DataFrame, rule: Likeness) -> DataFrame:
+    """The (materialised) pairs (a of texts, b of other) whose texts are alike."""
+    side = lambda t, c, s: t.select(F.col("text_key").alias(s), F.col(c).alias(f"{c}_{s}"))
 
     @F.pandas_udf("boolean")
     def same(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -368,11 +387,13 @@ class History:
     def _settled(self, held: DataFrame, texts: DataFrame, inner: DataFrame, crowded: DataFrame | None, fresh: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(near, repeats) of a batch on its own.
 
-        All pairs of a crowded bucket would be too many, and most of its texts repeat its
-        earliest. So all are compared with that one, the batch is settled, and then all
-        are compared with the bucket's accepted texts, until that finds nothing new: then
-        no two accepted texts are alike, and every other has an accepted one it repeats,
-        which only the one-by-one result has.
+        All pairs of a crowded bucket would be too many, and most of its texts may repeat
+        its earliest. So all are compared with that one, the batch is settled, and then all
+        are compared with block after block of the bucket's accepted texts, settling again
+        whenever that finds a pair, until every accepted text has been compared with its
+        whole bucket. Then no two accepted texts are alike, and every other has an accepted
+        one it repeats, which only the one-by-one result has. Each turn compares at least
+        one text more of every bucket that isn't done, so it ends.
         """
 
         def both(pairs: DataFrame) -> DataFrame:
@@ -389,20 +410,27 @@ class History:
         near = written(both(_verified(inner, texts, texts, self.rule)), "near")
         if crowded is None:
             return near, resolve(near)
-        first = fresh.join(held.select("id").distinct(), "id", "left_semi").groupBy("text_key").agg(F.min("rank").alias("rank"))
-        members = written(crowded.join(first, "text_key"), "crowded")
-        for most in LEADERS:
-            leaders = members
-            if most > 1:
-                leaders = members.join(repeats.select("rank"), "rank", "left_anti")
-                leaders = leaders.withColumn("k", F.row_number().over(Window.partitionBy("band").orderBy("rank"))).where(F.col("k") <= most)
-                leaders = leaders.select("band", F.col("text_key").alias("b"))
-            else:
-                leaders = members.groupBy("band").agg(F.min(F.struct("rank", "text_key")).alias("m")).select("band", F.col("m.text_key").alias("b"))
-            pairs = members.select("band", F.col("text_key").alias("a")).join(leaders, "band").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            found = written(both(_verified(pairs, texts, texts, self.rule)).join(near, ["key", "other"], "left_anti").distinct(), "found")
-            if most > 1 and found.isEmpty():
-                break
-            near = written(near.unionByName(found), "near")
-            repeats = resolve(near)
-        return near, repeats
+        holders = written(fresh.join(held.select("id").distinct(), "id", "left_semi").where("text_key is not null").select("text_key", "rank"), "holders")
+        # rest: a bucket's members that were not yet compared with all the others
+        rest = crowded.join(holders.groupBy("text_key").agg(F.min("rank").alias("rank")), "text_key").join(texts.select("text_key", "bits"), "text_key")
+        rest, repeats, turn = written(rest, "crowded"), None, 0
+        while True:
+            taken = rest
+            if turn:
+                # a text is accepted if any of its holders is, though the first may repeat another by a key
+                accepted = holders.join(repeats.select("rank"), "rank", "left_anti").groupBy("text_key").agg(F.min("rank").alias("rank"))
+                taken = rest.drop("rank").join(accepted, "text_key")
+            order = Window.partitionBy("band").orderBy("rank", "text_key")
+            leaders = taken.withColumn("k", F.row_number().over(order)).where(F.col("k") <= BLOCKS[min(turn, len(BLOCKS) - 1)])
+            leaders = written(leaders.select("band", "text_key", "bits"), "leaders")
+            if leaders.isEmpty():
+                return near, resolve(near) if repeats is None else repeats
+            close = _across(rest, leaders, self.rule).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            found = written(both(_exactly(written(close, "close"), texts, texts, self.rule)).join(near, ["key", "other"], "left_anti").distinct(), "found")
+            new = not found.isEmpty()
+            if new:
+                near = written(near.unionByName(found), "near")
+            if new or repeats is None:
+                repeats = resolve(near)
+            rest = written(rest.join(leaders, ["band", "text_key"], "left_anti"), "crowded")
+            turn += 1
