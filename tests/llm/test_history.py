@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm.history import History, Likeness, alike, common, key_of, settle, sign, signatures, words_of
@@ -142,6 +143,18 @@ def test_later_accepted_texts_of_a_crowded_bucket_have_repeats(spark, tmp_path):
     assert want <= got and all(i == "z" + of for i, of in got)
 
 
+@pytest.mark.parametrize("batches", [1, 2])
+def test_pairs_that_share_a_band_are_found_inside_a_template(spark, tmp_path, batches):
+    rule = Likeness(bucket=8)
+    texts = templated(150, random.Random(8), 40, 12, "t")
+    repeats = [repeat_of(r, 8) for r in texts[::3]]
+    band = lambda r: signatures([r[2]], rule, {})[0]
+    want = {(b[0], a[0]) for a, b in zip(texts[::3], repeats) if (band(a) == band(b)).any()}
+    assert len(want) > 30
+    pause = [(f"y{k}", [f"y{k}"], []) for k in range(len(texts) - len(repeats))] if batches == 2 else []
+    assert set(feed(spark, str(tmp_path / "h"), texts + pause + repeats, batches, rule)) == want
+
+
 def test_settle_takes_chains_in_order(spark):
     held = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (3, "b"), (4, "c"), (5, "d")], "rank long, key string")
     near = spark.createDataFrame([("c", "d"), ("d", "c")], "key string, other string")

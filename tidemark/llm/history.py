@@ -1,9 +1,9 @@
 """New batches checked for repeats against everything accepted so far.
 
 A record repeats an accepted one if they share an exact key or if their texts are the
-same words in the same order but for small edits.  A store keeps, for accepted records
-only: their exact keys, their minwise band keys (partitioned by hash), and the
-signatures and words of their texts.  A batch joins its keys and bands with the store,
+same words in the same order but for small edits.  A store keeps the exact keys of
+accepted records, and minwise band keys (partitioned by hash), signatures and words of
+all texts; those of repeats match nothing, as their exact keys are not kept.  A batch joins its keys and bands with the store,
 compares the texts of matching buckets, settles what is left within itself, and appends
 what it accepts.  History is never signed, compared or regrouped again.
 
@@ -34,8 +34,8 @@ WORD = re.compile(r"[^\W_]+")
 class Likeness:
     """least_words: shorter texts are not compared. share: of the longer text's words that
     must be common, in order. shingle, bands, rows: words of a shingle, minwise bands, and
-    minima in a band. bucket: members up to which all of a bucket are compared; larger
-    ones are split by further bands. near: least estimated shingle resemblance of pairs
+    minima in a band. bucket: members up to which all of a bucket are compared at once;
+    larger ones are compared with their accepted texts, in blocks. near: least estimated shingle resemblance of pairs
     worth the exact comparison."""
 
     least_words: int = 12
@@ -135,8 +135,6 @@ def sign(texts: DataFrame, rule: Likeness) -> DataFrame:
 
 #: Keys that may be broadcast to filter rows, some 16 MB; beyond that a shuffle join does it.
 MOST_BROADCAST = 1_000_000
-#: Bands that a bucket's key has at most.
-DEPTH = 3
 #: Texts of a crowded bucket that the others are compared with in the first, second and each
 #: further turn, and parts that the others are dealt to, so no task gets a whole bucket.
 BLOCKS = [1, 64, 1024]
@@ -149,49 +147,6 @@ def narrowed(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     return rows.join(F.broadcast(keys) if keys.count() <= MOST_BROADCAST else keys, on, "left_semi")
 
 
-def _deeper(rows: DataFrame, bands: DataFrame, hot: DataFrame, depth: int) -> DataFrame:
-    """(band, text_key) of the members of hot buckets, by one band more than `depth`."""
-    mine = written(narrowed(rows, hot, "band").select("text_key").distinct(), "hot")
-    arrays = narrowed(bands, mine, "text_key").groupBy("text_key").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "band"))), lambda x: x["band"]).alias("b"))
-    rows = arrays.select("text_key", "b", F.posexplode("b").alias("i", "b0"))
-    key = [F.col("b")[(F.col("i") + k) % F.size("b")] for k in range(depth + 1)]
-    under = F.xxhash64(F.lit(depth), *key[:depth]) if depth > 1 else F.col("b0")
-    made = rows.select("text_key", under.alias("band"), F.xxhash64(F.lit(depth + 1), *key).alias("next"))
-    return narrowed(made, hot, "band").select(F.col("next").alias("band"), "text_key").distinct()
-
-
-def _inner(rows: DataFrame, shared: DataFrame, bands: DataFrame, rule: Likeness, depth: int) -> tuple[list[DataFrame], DataFrame | None]:
-    """Pairs (a, b), a < b, of the new texts that share a bucket, and the rows of buckets too large for that.
-
-    Buckets over rule.bucket members are split by one band more, twice at most. What is
-    still too large then holds copies of much the same text, and comes out as rows.
-    """
-    mine = written(narrowed(rows, shared.where(f"n between 3 and {rule.bucket}"), "band").select("band", F.col("text_key").alias("a")), "members")
-    pairs = [shared.where("n = 2").select("a", "b"), mine.join(mine.withColumnRenamed("a", "b"), "band").where("a < b").select("a", "b")]
-    hot = shared.where(f"n > {rule.bucket}")
-    if hot.isEmpty():
-        return pairs, None
-    if depth == DEPTH:
-        return pairs, written(narrowed(rows, hot, "band").select("band", "text_key"), "crowded")
-    deeper = written(_deeper(rows, bands, hot, depth), "deeper")
-    more, crowded = _inner(deeper, written(_counted(deeper, None).where("n > 1"), "shared"), bands, rule, depth + 1)
-    return pairs + more, crowded
-
-
-def _outer(rows: DataFrame, old: DataFrame, shared: DataFrame, bands: DataFrame, old_bands: DataFrame, rule: Likeness, depth: int) -> list[DataFrame]:
-    """Pairs of a new text (a) and an old one (b) that share a bucket; buckets with many old texts are split."""
-    few = f"m <= {rule.bucket}" if depth < DEPTH else "true"
-    again = shared.where(f"m > 0 and n + m > 2 and {few}")
-    mine = narrowed(rows, again, "band").select("band", F.col("text_key").alias("a"))
-    theirs = narrowed(old, again, "band").select("band", F.col("text_key").alias("b"))
-    pairs = [shared.where("n = 1 and m = 1").select("a", F.col("c").alias("b")), mine.join(theirs, "band").select("a", "b")]
-    hot = shared.where(f"m > {rule.bucket}")
-    if depth == DEPTH or hot.isEmpty():
-        return pairs
-    next_new, next_old = written(_deeper(rows, bands, hot, depth), "deeper"), written(_deeper(old, old_bands, hot, depth), "deeper")
-    return pairs + _outer(next_new, next_old, written(_counted(next_new, next_old), "shared"), bands, old_bands, rule, depth + 1)
-
-
 def _counted(rows: DataFrame, old: DataFrame | None) -> DataFrame:
     """Per bucket with a new member and any other: new and old members counted, and the first and last of each."""
     all_ = rows.select("band", "text_key", F.lit(False).alias("old"))
@@ -203,18 +158,27 @@ def _counted(rows: DataFrame, old: DataFrame | None) -> DataFrame:
     ).where("n > 0 and n + m > 1")
 
 
-def _candidates(bands: DataFrame, old_bands: DataFrame | None, rule: Likeness) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
-    """Pairs among the new texts, pairs of new and old ones, and rows of crowded buckets.
+def _candidates(bands: DataFrame, old_bands: DataFrame | None, rule: Likeness) -> tuple[DataFrame, DataFrame | None, DataFrame | None, tuple[DataFrame, DataFrame] | None]:
+    """Pairs among the new texts, pairs of new and old ones, rows of buckets with many new texts, and new and old rows of those with many old ones.
 
     One shuffle counts every bucket's new and old members and keeps their ends, which
-    are all there are in most shared buckets; only larger ones are read again.
+    are all there are in most shared buckets; only larger ones are read again. Whatever a
+    bucket's size, two of its members need no further band in common to be compared.
     """
     rows = bands.select("band", "text_key")
     old = None if old_bands is None else old_bands.select("band", "text_key")
     shared = written(_counted(rows, old), "shared")
-    new, crowded = _inner(rows, shared, bands, rule, 1)
-    mixed = None if old is None else reduce(DataFrame.unionByName, _outer(rows, old, shared, bands, old_bands, rule, 1))
-    return reduce(DataFrame.unionByName, new), mixed, crowded
+    of = lambda t, which, name: narrowed(t, which, "band").select("band", F.col("text_key").alias(name))
+    mine = written(of(rows, shared.where(f"n between 3 and {rule.bucket}"), "a"), "members")
+    new = shared.where("n = 2").select("a", "b").unionByName(mine.join(mine.withColumnRenamed("a", "b"), "band").where("a < b").select("a", "b"))
+    hot = shared.where(f"n > {rule.bucket}")
+    crowded = None if hot.isEmpty() else written(of(rows, hot, "text_key"), "crowded")
+    if old is None:
+        return new, None, crowded, None
+    few = shared.where(f"m between 1 and {rule.bucket} and n + m > 2")
+    mixed = shared.where("n = 1 and m = 1").select("a", F.col("c").alias("b")).unionByName(of(rows, few, "a").join(of(old, few, "b"), "band").select("a", "b"))
+    hot = shared.where(f"m > {rule.bucket}")
+    return new, mixed, crowded, None if hot.isEmpty() else (of(rows, hot, "text_key"), of(old, hot, "text_key"))
 
 
 def _agreeing(bits: int) -> Column:
@@ -363,11 +327,18 @@ class History:
         put(banded.select("band", "text_key", "i", F.pmod("band", F.lit(self.shards)).cast("int").alias("shard")), "bands", "shard")
         bands = self.spark.read.schema(TABLES["bands"]).parquet(at("bands"))
 
-        inner, outer, crowded = _candidates(bands, past["bands"], self.rule)
+        inner, outer, crowded, busy = _candidates(bands, past["bands"], self.rule)
         gone = None
         if past["keys"] is not None:
             hits = held.join(past["keys"], "key").select("id", "of")
             old = _verified(outer, texts, past["texts"], self.rule)
+            if busy is not None:
+                mine, theirs = busy
+                # texts of records that were repeats are stored too, but only accepted ones count
+                live = past["keys"].select("key").distinct()
+                theirs = theirs.withColumn("key", text_id(F.col("text_key"))).join(live, "key", "left_semi")
+                close = written(_across(mine.join(texts, "text_key"), theirs.join(past["texts"], "text_key"), self.rule), "close")
+                old = old.unionByName(_exactly(close, texts, past["texts"], self.rule))
             old = old.select(text_id(F.col("a")).alias("mine"), text_id(F.col("b")).alias("key")).join(past["keys"], "key")
             hits = hits.unionByName(held.join(old.select(F.col("mine").alias("key"), "of"), "key").select("id", "of"))
             gone = written(hits.groupBy("id").agg(F.min("of").alias("of")), "gone", keep=True)
