@@ -41,7 +41,7 @@ class Likeness:
     least_words: int = 12
     share: float = 0.8
     shingle: int = 3
-    bands: int = 24
+    bands: int = 32
     rows: int = 5
     bucket: int = 32
     near: float = 0.25
