@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.history import History, Likeness, alike, common, key_of, settle, sign, signatures, words_of
 from tidemark.llm.queries import content_hash, dedup_key
+from tidemark.session import written
 
 WORDS = [f"w{k}" for k in range(900)]
 
@@ -35,15 +36,23 @@ def test_alike_at_the_border():
     assert not alike(" ".join(base[:11]), " ".join(base[:11]), rule)
 
 
-def test_minima_agree_as_often_as_shingles():
-    rnd, rule = random.Random(2), Likeness(bands=60)
-    a = [rnd.choice(WORDS) for _ in range(80)]
-    b = a[:60] + [rnd.choice(WORDS) for _ in range(20)]
-    bands, _ = signatures([a, b, a], rule, {})
-    assert np.array_equal(bands[0], bands[2])
-    shingle = lambda x: {tuple(x[k : k + 3]) for k in range(len(x) - 2)}
-    j = len(shingle(a) & shingle(b)) / len(shingle(a) | shingle(b))
-    assert abs((bands[0] == bands[1]).mean() - j**5) < 0.2
+def test_bands_agree_by_words_and_their_order():
+    rnd, rule = random.Random(2), Likeness(bands=200, rows=3)
+    a = [f"u{k}" for k in range(80)]
+    b = [w if k % 8 else f"v{k}" for k, w in enumerate(a)]
+    shuffled = rnd.sample(a, 80)
+    bands, marks, _ = signatures([a, b, a, shuffled], rule, {})
+    assert np.array_equal(bands[0], bands[2]) and marks[0] == marks[2] == marks[3]
+    j = 70 / 90
+    assert abs((bands[0] == bands[1]).mean() - j**3) < 0.1
+    # the same words in any order: one of six orders agrees
+    assert abs((bands[0] == bands[3]).mean() - 1 / 6) < 0.1
+
+
+def test_repeated_words_are_elements_of_their_own():
+    rule = Likeness(bands=300, rows=1)
+    bands, _, _ = signatures([["a"] * 10 + ["b"] * 10, ["a"] * 10 + ["b"] * 5], rule, {})
+    assert abs((bands[0] == bands[1]).mean() - 15 / 20) < 0.1
 
 
 def sequential(records):
@@ -61,7 +70,7 @@ def sequential(records):
 def feed(spark, path, records, batches, rule=Likeness()):
     store, out = History(spark, path, rule), []
     size = -(-len(records) // batches)
-    signed = sign(spark.createDataFrame([(i, " ".join(t)) for i, _, t in records], "id string, body string"), rule)
+    signed = written(sign(spark.createDataFrame([(i, " ".join(t)) for i, _, t in records], "id string, body string"), rule))
     for n in range(batches):
         rows = [(i, n * size + k, keys) for k, (i, keys, _) in enumerate(records[n * size : (n + 1) * size])]
         df = spark.createDataFrame(rows, "id string, at long, keys array<string>").withColumn("keys", F.transform("keys", lambda k: key_of("k", k)))
@@ -99,7 +108,7 @@ def test_any_batching_equals_one_record_after_the_other(spark, tmp_path):
         assert set(feed(spark, str(tmp_path / f"h{batches}"), records, batches)) == want
 
 
-def test_a_large_group_of_near_copies_in_small_buckets(spark, tmp_path):
+def test_a_large_group_of_near_copies(spark, tmp_path):
     rnd = random.Random(9)
     base = [rnd.choice(WORDS) for _ in range(60)]
     records = [("e000", ["a"], base)]
@@ -155,6 +164,68 @@ def test_pairs_that_share_a_band_are_found_inside_a_template(spark, tmp_path, ba
     assert set(feed(spark, str(tmp_path / "h"), texts + pause + repeats, batches, rule)) == want
 
 
+def test_recall_of_scattered_edits_against_all_pairs(spark, tmp_path):
+    rnd, first, second, cell = random.Random(4), [], [], {}
+    word = lambda: f"w{rnd.randrange(5000)}"
+    for size in (20, 60, 200):
+        for share in (0.05, 0.1, 0.15, 0.2):
+            for k in range(60):
+                a = [word() for _ in range(size)]
+                b, name = [*a], f"{size}-{share}-{k}"
+                for i in rnd.sample(range(size), int(size * share)):
+                    b[i] = word()
+                assert alike(" ".join(a), " ".join(b), Likeness())
+                first.append((f"a{name}", [], a))
+                second.append((f"b{name}", [], b))
+                cell[f"b{name}"] = (size, share)
+    rnd.shuffle(second)
+    got = {i for i, of in feed(spark, str(tmp_path / "h"), first + second, 2) if i[1:] == of[1:]}
+    found = Counter(cell[i] for i in got)
+    assert all(found[c] >= 0.95 * 60 for c in set(cell.values())), found
+
+
+def stored(store):
+    return {n: store.table(n).count() for n in ("seen", "keys", "bands", "texts")}
+
+
+def test_only_accepted_records_are_stored_and_compaction_changes_nothing(spark, tmp_path):
+    rnd, path = random.Random(3), str(tmp_path / "h")
+    base = [rnd.choice(WORDS) for _ in range(60)]
+    records = [("e00", ["a"], base)] + [(f"e{k:02}", [f"k{k}"], [*base[:k], f"new{k}", *base[k + 1 :]]) for k in range(1, 60)]
+    assert len(feed(spark, path, records, 3)) == 59
+    store = History(spark, path)
+    assert stored(store) == {"seen": 60, "keys": 2, "bands": 32, "texts": 1}
+    before = {n: sorted(map(str, store.table(n).collect())) for n in ("keys", "bands", "texts")}
+    store.compact()
+    assert before == {n: sorted(map(str, store.table(n).collect())) for n in ("keys", "bands", "texts")} and len(store.markers.batches()) == 1
+    again = [("f1", ["z"], [*base[:9], "other", *base[10:]])]
+    assert feed(spark, path, again, 1) == [("f1", "e00")]
+
+
+def test_stored_rows_are_probed_where_they_lie(spark, tmp_path):
+    records = made(40, 3)
+    feed(spark, str(tmp_path / "h"), records, 2)
+    store = History(spark, str(tmp_path / "h"))
+    old, new = store.tables["bands"].rows([1]), store.tables["bands"].rows([2])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = old.join(new.select("band"), "band", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+
+
+def test_a_batch_without_its_marker_leaves_no_trace(spark, tmp_path, monkeypatch):
+    path, records = str(tmp_path / "h"), made(60, 5)
+    want = set(feed(spark, path, records[:30], 1))
+    monkeypatch.setattr("tidemark.sources.buckets.Markers.commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        feed(spark, path, records[30:], 1)
+    monkeypatch.undo()
+    assert History(spark, path).markers.batches() == [1]
+    assert want | set(feed(spark, path, records[30:], 1)) == sequential(records)
+
+
 def test_settle_takes_chains_in_order(spark):
     held = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (3, "b"), (4, "c"), (5, "d")], "rank long, key string")
     near = spark.createDataFrame([("c", "d"), ("d", "c")], "key string, other string")

@@ -1,11 +1,19 @@
 """New batches checked for repeats against everything accepted so far.
 
 A record repeats an accepted one if they share an exact key or if their texts are the
-same words in the same order but for small edits.  A store keeps the exact keys of
-accepted records, and minwise band keys (partitioned by hash), signatures and words of
-all texts; those of repeats match nothing, as their exact keys are not kept.  A batch joins its keys and bands with the store,
-compares the texts of matching buckets, settles what is left within itself, and appends
-what it accepts.  History is never signed, compared or regrouped again.
+same words in the same order but for small edits.  A store keeps exact keys, minwise
+band keys (in hash buckets), signatures and words of accepted records, and only of
+those.  A batch brings its keys and bands into the same buckets, meets the stored rows
+there, compares the texts of matching buckets, settles what is left within itself, and
+appends what it accepts.  Stored rows are read where they lie, never shuffled, signed
+or grouped again; only those that share a band with the batch are counted.
+
+Minima are taken over a text's words, the k-th occurrence of a word being an element of
+its own: texts of which four fifths of the longer one's words are common then resemble
+each other by two thirds at least, wherever the edits lie.  A band's key also holds the
+order in which its words stand in the text, which alike texts share and unrelated texts
+that use the same words mostly don't.  Every band row carries a mark, some bits of
+the signature and the text's length class, so most other pairs end where they meet.
 
 Records are taken in order; one that repeats an accepted record is paired with the
 earliest such and not accepted.  Within a batch that is settled in rounds: whatever has
@@ -16,6 +24,7 @@ of any size costs one row per record and round.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 from functools import reduce
@@ -25,7 +34,8 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemark.session import hadoop_fs, scratch, written
+from tidemark.session import scratch, written
+from tidemark.sources.buckets import Buckets, Markers
 
 WORD = re.compile(r"[^\W_]+")
 
@@ -33,21 +43,24 @@ WORD = re.compile(r"[^\W_]+")
 @dataclass(frozen=True)
 class Likeness:
     """least_words: shorter texts are not compared. share: of the longer text's words that
-    must be common, in order. shingle, bands, rows: words of a shingle, minwise bands, and
-    minima in a band. bucket: members up to which all of a bucket are compared at once;
-    larger ones are compared with their accepted texts, in blocks. near: least estimated shingle resemblance of pairs
-    worth the exact comparison."""
+    must be common, in order. bands, rows: minwise bands, and minima in a band. bucket:
+    members up to which all of a bucket are compared at once; larger ones are compared
+    with their accepted texts, in blocks. near: least estimated resemblance of pairs
+    worth the exact comparison (pairs at the border have two thirds)."""
 
     least_words: int = 12
     share: float = 0.8
-    shingle: int = 3
     bands: int = 32
     rows: int = 5
-    bucket: int = 32
-    near: float = 0.25
+    bucket: int = 256
+    near: float = 0.43
     seed: int = 20240101
 
 
+#: Bits of a mark that come from the signature, and the step between its length classes.
+MARK_BITS, CLASS = 56, 1.03
+
+
 def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
@@ -72,63 +85,68 @@ def alike(a: str, b: str, rule: Likeness) -> bool:
     return min(len(x), len(y)) >= max(need, rule.least_words) and common(x, y) >= need
 
 
-def signatures(texts: list[list[str]], rule: Likeness, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Band keys and one bit per minimum of every text (none of them empty)."""
+def _elements(words: list[str], known: dict[str, int]) -> list[int]:
+    """A hash of every word; its second, third … occurrence has another one."""
+    out, times = [], {}
+    for w in words:
+        h = known.get(w)
+        if h is None:
+            if len(known) > 500_000:
+                known.clear()
+            h = known[w] = xxhash.xxh3_64_intdigest(w)
+        k = times[w] = times.get(w, -1) + 1
+        out.append(h if k == 0 else (h + k * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
+    return out
+
+
+def signatures(texts: list[list[str]], rule: Likeness, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Band keys, marks and one bit per minimum of every text (none of them empty)."""
     rng = np.random.default_rng(rule.seed)
     n = rule.bands * rule.rows
     factor = rng.integers(1, 2**63, n, dtype=np.uint64) | np.uint64(1)
     shift = rng.integers(0, 2**63, n, dtype=np.uint64)
-    flat, starts, at = [], [], 0
-    for words in texts:
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                if len(known) > 500_000:
-                    known.clear()
-                h = known[w] = xxhash.xxh3_64_intdigest(w)
-            flat.append(h)
-        starts.append(at)
-        at += len(words)
-    word = np.array(flat, dtype=np.uint64)
-    sizes = np.diff(np.append(starts, at))
-    mixed = word.copy()
-    for k in range(1, rule.shingle):
-        mixed[: len(word) - k] = (mixed[: len(word) - k] ^ (mixed[: len(word) - k] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + word[k:]
-    mixed ^= mixed >> np.uint64(32)
-    keep = np.arange(at) - np.repeat(starts, sizes) <= np.maximum(np.repeat(sizes, sizes) - rule.shingle, 0)
-    first = np.concatenate([[0], np.cumsum(np.add.reduceat(keep.astype(np.int64), starts))[:-1]])
-    mixed = mixed[keep]
-    low = np.empty((len(texts), n), dtype=np.uint32)
+    word = np.array([h for words in texts for h in _elements(words, known)], dtype=np.uint64)
+    sizes = np.array([len(words) for words in texts])
+    starts = np.cumsum(sizes) - sizes
+    # a minimum over 40 bits of hash brings its place in the text along in the other 24
+    place = (np.arange(len(word)) - np.repeat(starts, sizes)).astype(np.uint64) & np.uint64(0xFFFFFF)
+    low = np.empty((len(texts), n), dtype=np.uint64)
     for k in range(n):
-        low[:, k] = np.minimum.reduceat(((mixed * factor[k] + shift[k]) >> np.uint64(32)).astype(np.uint32), first)
+        low[:, k] = np.minimum.reduceat((word * factor[k] + shift[k]) & np.uint64(0xFFFFFFFFFF000000) | place, starts)
+    at, low = low & np.uint64(0xFFFFFF), low >> np.uint64(24)
     band = np.zeros((len(texts), rule.bands), dtype=np.uint64)
+    mix = lambda band, x: (band ^ (band >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) + x + np.uint64(1)
     for r in range(rule.rows):
-        band = (band ^ (band >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) + low[:, r :: rule.rows].astype(np.uint64) + np.uint64(1)
+        band = mix(band, low[:, r :: rule.rows])
+        band = mix(band, sum((at[:, r :: rule.rows] > at[:, q :: rule.rows]).astype(np.uint64) for q in range(rule.rows)))
     band = (band ^ np.arange(rule.bands, dtype=np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
     bits = np.zeros((len(texts), -(-n // 64) * 64), dtype=np.uint8)
-    bits[:, :n] = (low ^ (low >> np.uint32(7)) ^ (low >> np.uint32(17))) & np.uint32(1)
-    return band.view(np.int64), np.packbits(bits, axis=1).view(np.int64)
+    bits[:, :n] = (low ^ (low >> np.uint64(7)) ^ (low >> np.uint64(17))) & np.uint64(1)
+    marked = min(n, MARK_BITS)
+    mark = np.minimum(np.log(sizes) / math.log(CLASS), 255).astype(np.uint64)
+    mark |= (bits[:, :marked].astype(np.uint64) << np.arange(8, 8 + marked, dtype=np.uint64)).sum(1, dtype=np.uint64)
+    return band.view(np.int64), mark.view(np.int64), np.packbits(bits, axis=1).view(np.int64)
 
 
 def sign(texts: DataFrame, rule: Likeness) -> DataFrame:
-    """texts(id, body) → id, text_key, words, bands, bits of every text long enough to compare.
+    """texts(id, body) → id, text_key, words, bands, mark, bits of every text long enough to compare.
 
     text_key is the same for texts of the same words.
     """
 
-    @F.pandas_udf("text_key long, words string, bands array<long>, bits array<long>")
+    @F.pandas_udf("text_key long, words string, bands array<long>, mark long, bits array<long>")
     def make(body: pd.Series) -> pd.DataFrame:
         known: dict[str, int] = {}
-        rows: list[tuple] = [(None, None, None, None)] * len(body)
+        rows: list[tuple] = [(None,) * 5] * len(body)
         lists = [words_of(b) for b in body]
         todo = [i for i, w in enumerate(lists) if len(w) >= rule.least_words]
         for low in range(0, len(todo), 500):
             part = todo[low : low + 500]
-            bands, bits = signatures([lists[i] for i in part], rule, known)
+            bands, marks, bits = signatures([lists[i] for i in part], rule, known)
             for k, i in enumerate(part):
                 joined = " ".join(lists[i])
-                rows[i] = (np.uint64(xxhash.xxh3_64_intdigest(joined)).astype(np.int64), joined, bands[k], bits[k])
-        return pd.DataFrame(rows, columns=["text_key", "words", "bands", "bits"])
+                rows[i] = (np.uint64(xxhash.xxh3_64_intdigest(joined)).astype(np.int64), joined, bands[k], marks[k], bits[k])
+        return pd.DataFrame(rows, columns=["text_key", "words", "bands", "mark", "bits"])
 
     return texts.select("id", make("body").alias("s")).where("s.text_key is not null").select("id", "s.*")
 
@@ -141,87 +159,62 @@ BLOCKS = [1, 64, 1024]
 SALTS = 16
 
 
-def narrowed(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """rows whose key is among the (materialised) keys; broadcast only after counting them."""
-    keys = keys.select(on).distinct()
-    return rows.join(F.broadcast(keys) if keys.count() <= MOST_BROADCAST else keys, on, "left_semi")
+def narrowed(rows: DataFrame, keys: DataFrame, *on: str, how: str = "left_semi") -> DataFrame:
+    """rows whose key is among the (materialised) keys, or isn't; broadcast only after counting them."""
+    keys = keys.select(*on).distinct()
+    return rows.join(F.broadcast(keys) if keys.count() <= MOST_BROADCAST else keys, [*on], how)
 
 
-def _counted(rows: DataFrame, old: DataFrame | None) -> DataFrame:
-    """Per bucket with a new member and any other: new and old members counted, and the first and last of each."""
-    all_ = rows.select("band", "text_key", F.lit(False).alias("old"))
-    if old is not None:
-        all_ = all_.unionByName(old.select("band", "text_key", F.lit(True).alias("old")))
-    of = lambda is_old: F.when(F.col("old") == is_old, F.col("text_key"))
-    return all_.groupBy("band").agg(
-        F.count(of(False)).alias("n"), F.min(of(False)).alias("a"), F.max(of(False)).alias("b"), F.count(of(True)).alias("m"), F.min(of(True)).alias("c")
-    ).where("n > 0 and n + m > 1")
+def _close(a: str, b: str, rule: Likeness) -> Column:
+    """Whether two marks leave it open that their texts are alike: lengths, then bits."""
+    classes = math.ceil(math.log(1 / rule.share) / math.log(CLASS))
+    differ = F.bit_count(F.shiftrightunsigned(F.col(a).bitwiseXOR(F.col(b)), 8))
+    size = lambda c: F.col(c).bitwiseAND(F.lit(255))
+    most = int(min(rule.bands * rule.rows, MARK_BITS) * (1.15 - rule.near) / 2)
+    return (F.abs(size(a) - size(b)) <= classes) & (differ <= most)
 
 
-def _candidates(bands: DataFrame, old_bands: DataFrame | None, rule: Likeness) -> tuple[DataFrame, DataFrame | None, DataFrame | None, tuple[DataFrame, DataFrame] | None]:
-    """Pairs among the new texts, pairs of new and old ones, rows of buckets with many new texts, and new and old rows of those with many old ones.
+def _side(rows: DataFrame, s: str, *more: str) -> DataFrame:
+    return rows.select("band", F.col("text_key").alias(s), F.col("mark").alias(f"mark_{s}"), *more)
 
-    One shuffle counts every bucket's new and old members and keeps their ends, which
-    are all there are in most shared buckets; only larger ones are read again. Whatever a
-    bucket's size, two of its members need no further band in common to be compared.
-    """
-    rows = bands.select("band", "text_key")
-    old = None if old_bands is None else old_bands.select("band", "text_key")
-    shared = written(_counted(rows, old), "shared")
-    of = lambda t, which, name: narrowed(t, which, "band").select("band", F.col("text_key").alias(name))
-    mine = written(of(rows, shared.where(f"n between 3 and {rule.bucket}"), "a"), "members")
-    new = shared.where("n = 2").select("a", "b").unionByName(mine.join(mine.withColumnRenamed("a", "b"), "band").where("a < b").select("a", "b"))
-    hot = shared.where(f"n > {rule.bucket}")
-    crowded = None if hot.isEmpty() else written(of(rows, hot, "text_key"), "crowded")
-    if old is None:
-        return new, None, crowded, None
-    few = shared.where(f"m between 1 and {rule.bucket} and n + m > 2")
-    mixed = shared.where("n = 1 and m = 1").select("a", F.col("c").alias("b")).unionByName(of(rows, few, "a").join(of(old, few, "b"), "band").select("a", "b"))
-    hot = shared.where(f"m > {rule.bucket}")
-    return new, mixed, crowded, None if hot.isEmpty() else (of(rows, hot, "text_key"), of(old, hot, "text_key"))
-
-
-def _agreeing(bits: int) -> Column:
-    """Minima of one bit each on which two signatures agree, of `bits` in all."""
-    return F.lit(bits) - F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda s, x: s + x)
 
+def _met(a: DataFrame, b: DataFrame, on: list[str], rule: Likeness) -> DataFrame:
+    """Pairs (a, b) of different texts that meet in a bucket and whose marks are close.
 
-def _verified(pairs: DataFrame, texts: DataFrame, other: DataFrame, rule: Likeness) -> DataFrame:
-    """The pairs (a of texts, b of other) that are alike: first by signature, then exactly."""
-    bits = rule.bands * rule.rows
-    least = bits * (1 + rule.near) / 2
-    side = lambda t, c, s: t.select(F.col("text_key").alias(s), F.col(c).alias(f"{c}_{s}"))
-    pairs = pairs.where("a <> b").distinct()
-    close = pairs.join(side(texts, "bits", "a"), "a").join(side(other, "bits", "b"), "b").where(_agreeing(bits) >= least).select("a", "b")
-    return _exactly(written(close, "close"), texts, other, rule)
+    Marks are compared where the pairs arise, so other pairs are never shuffled.
+    """
+    return a.join(b, on).where((F.col("a") != F.col("b")) & _close("mark_a", "mark_b", rule)).select("a", "b")
 
 
 def _across(mine: DataFrame, theirs: DataFrame, rule: Likeness) -> DataFrame:
-    """Pairs (a of mine, b of theirs) that share a bucket and whose signatures are close enough.
+    """The same for large buckets: one side is dealt to SALTS parts, the other copied to all of them."""
+    a = _side(mine, "a", F.pmod("text_key", F.lit(SALTS)).cast("int").alias("salt"))
+    b = _side(theirs, "b", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return _met(a, b, ["band", "salt"], rule).distinct()
 
-    mine, theirs(band, text_key, bits). Signatures are compared where the pairs arise, so
-    pairs that are not close are never shuffled.
-    """
-    bits = rule.bands * rule.rows
-    a = mine.select("band", F.pmod("text_key", F.lit(SALTS)).cast("int").alias("salt"), F.col("text_key").alias("a"), F.col("bits").alias("bits_a"))
-    b = theirs.select("band", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.col("text_key").alias("b"), F.col("bits").alias("bits_b"))
-    return a.join(b, ["band", "salt"]).where((F.col("a") != F.col("b")) & (_agreeing(bits) >= bits * (1 + rule.near) / 2)).select("a", "b").distinct()
 
+def _verified(pairs: DataFrame, texts: DataFrame, other: DataFrame, rule: Likeness) -> DataFrame:
+    """The (materialised) pairs (a of texts, b of other) that are alike: first by all bits, then exactly.
 
-def _exactly(close: DataFrame, texts: DataFrame, other: DataFrame, rule: Likeness) -> DataFrame:
-    """The (materialised) pairs (a of texts, b of other) whose texts are alike."""
-    side = lambda t, c, s: t.select(F.col("text_key").alias(s), F.col(c).alias(f"{c}_{s}"))
+    Bits and words are looked up by text, and only of texts in the pairs.
+    """
+    n = rule.bands * rule.rows
+
+    def with_(rows: DataFrame, source: DataFrame, key: str, what: str) -> DataFrame:
+        found = narrowed(source.select(F.col("text_key").alias(key), F.col(what).alias(f"{what}_{key}")), rows, key).dropDuplicates([key])
+        return rows.join(found, key)
 
     @F.pandas_udf("boolean")
     def same(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([alike(p, q, rule) for p, q in zip(x, y)])
 
-    words = lambda t, s: narrowed(side(t, "words", s), close, s)
-    return close.join(words(texts, "a"), "a").join(words(other, "b"), "b").where(same("words_a", "words_b")).select("a", "b")
+    differ = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda s, x: s + x)
+    close = written(with_(with_(pairs, texts, "a", "bits"), other, "b", "bits").where(differ <= int(n * (1 - rule.near) / 2)).select("a", "b"), "close")
+    return with_(with_(close, texts, "a", "words"), other, "b", "words").where(same("words_a", "words_b")).select("a", "b")
 
 
-def settle(held: DataFrame, near: DataFrame, most_rounds: int = 200) -> tuple[DataFrame, DataFrame]:
-    """Who is accepted when records are taken in order.
+def settle(held: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Who is accepted when records are taken in order; every round decides the earliest open record at least.
 
     held(rank, key): rank orders records and identifies them; near(key, other): keys
     whose holders repeat each other, both ways round. → accepted(rank), repeats(rank, of).
@@ -230,9 +223,7 @@ def settle(held: DataFrame, near: DataFrame, most_rounds: int = 200) -> tuple[Da
     near = written(near.distinct(), "near")
     total = held
     taken: list[DataFrame] = []
-    for _ in range(most_rounds):
-        if held.isEmpty():
-            break
+    while not held.isEmpty():
         first = held.groupBy("key").agg(F.min("rank").alias("first"))
         around = near.join(first, near["other"] == first["key"]).select(near["key"], "first")
         lead = first.unionByName(around).groupBy("key").agg(F.min("first").alias("first"))
@@ -243,8 +234,6 @@ def settle(held: DataFrame, near: DataFrame, most_rounds: int = 200) -> tuple[Da
         closed = keys.unionByName(near.join(keys.withColumnRenamed("key", "other"), "other", "left_semi").select("key")).distinct()
         out = held.join(closed, "key", "left_semi").select("rank").distinct()
         held = written(held.join(out, "rank", "left_anti"), "open")
-    else:
-        raise RuntimeError(f"not settled after {most_rounds} rounds")
     accepted = reduce(DataFrame.unionByName, taken) if taken else total.select("rank").limit(0)
     mine = total.join(accepted, "rank", "left_semi").select("key", F.col("rank").alias("of"))
     reach = mine.unionByName(near.join(mine.withColumnRenamed("key", "other"), "other").select("key", "of")).groupBy("key").agg(F.min("of").alias("of"))
@@ -254,12 +243,14 @@ def settle(held: DataFrame, near: DataFrame, most_rounds: int = 200) -> tuple[Da
 
 
 RANK = "struct<at: bigint, id: string>"
+#: Tables of the store, and the column whose hash buckets their rows lie in.
 TABLES = {
-    "seen": "id string",
-    "keys": f"key binary, of {RANK}",
-    "bands": "band bigint, text_key bigint, i int, shard int",
-    "texts": "text_key bigint, words string, bands array<bigint>, bits array<bigint>",
+    "seen": ("id string", "id"),
+    "keys": (f"key binary, of {RANK}", "key"),
+    "bands": ("band bigint, text_key bigint, mark bigint", "band"),
+    "texts": ("text_key bigint, words string, bits array<bigint>", "text_key"),
 }
+PENDING = {"pending": ("band bigint, text_key bigint, mark bigint", "band"), "matched": ("band bigint, text_key bigint, mark bigint, m bigint", "band")}
 
 
 def text_id(c: Column) -> Column:
@@ -273,23 +264,31 @@ def key_of(kind: str, c: Column) -> Column:
 
 
 class History:
-    """The store under `path`: one sub-folder per table and committed batch."""
-
-    def __init__(self, spark: SparkSession, path: str, rule: Likeness = Likeness(), shards: int = 16):
-        self.spark, self.path, self.rule, self.shards = spark, path.rstrip("/"), rule, shards
+    """The store under `path`, in hash buckets: `buckets` of them, about one for ten thousand texts expected.
 
-    def batches(self) -> list[int]:
-        fs, at = hadoop_fs(self.spark, self.path)
-        if not fs.exists(at):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(at)]
-        return sorted(int(n.removeprefix("committed-")) for n in names if n.startswith("committed-"))
+    The number is fixed by the first batch; `compact` can change it.
+    """
 
-    def table(self, name: str) -> DataFrame | None:
-        paths = [f"{self.path}/{name}-{b}" for b in self.batches()]
-        if not paths:
-            return None
-        return reduce(DataFrame.unionByName, [self.spark.read.schema(TABLES[name]).parquet(p) for p in paths])
+    def __init__(self, spark: SparkSession, path: str, rule: Likeness = Likeness(), buckets: int = 16):
+        self.spark, self.path, self.rule = spark, path.rstrip("/"), rule
+        self.tables = {n: Buckets(spark, f"{self.path}/{n}", *spec, buckets) for n, spec in (TABLES | PENDING).items()}
+        self.markers = Markers(spark, self.path)
+
+    def table(self, name: str) -> DataFrame:
+        return self.tables[name].rows(self.markers.batches())
+
+    def compact(self) -> None:
+        """All batches so far as one, so that a bucket is one file again."""
+        done = self.markers.batches()
+        if len(done) < 2:
+            return
+        batch = done[-1] + 1
+        for n in TABLES:
+            self.tables[n].put(self.tables[n].rows(done), batch, placed=True)
+        self.markers.commit(batch, "compacted")
+        for n in TABLES:
+            for b in done:
+                self.tables[n].remove(b)
 
     def admit(self, records: DataFrame, signed: DataFrame) -> DataFrame:
         """records(id, at, keys), signed as `sign` gives it, for ids of the batch → (id, of_id) of repeats.
@@ -303,60 +302,74 @@ class History:
             return self._admit(records, signed)
 
     def _admit(self, records: DataFrame, signed: DataFrame) -> DataFrame:
-        batch = max(self.batches(), default=0) + 1
-        at = lambda name: f"{self.path}/{name}-{batch}"
-        past = {n: self.table(n) for n in TABLES}
+        done = self.markers.batches()
+        batch = max(done, default=0) + 1
+        put = lambda name, rows, placed=False: self.tables[name].put(rows, batch, placed)
+        past = {n: self.tables[n].rows(done) for n in TABLES} if done else None
         fresh = records.where("id is not null").groupBy("id").agg(F.min(F.struct(F.coalesce("at", F.lit(2**62)).alias("at"), "keys")).alias("m")).select("id", "m.at", "m.keys")
-        if past["seen"] is not None:
+        if past:
             fresh = fresh.join(past["seen"], "id", "left_anti")
         text = signed.select("id", "text_key").groupBy("id").agg(F.min("text_key").alias("text_key"))
         fresh = fresh.join(text, "id", "left").select(
             "id", "text_key", F.struct("at", "id").alias("rank"), F.array_compact(F.array_union(F.coalesce("keys", F.array().cast("array<binary>")), F.array(text_id(F.col("text_key"))))).alias("keys")
         )
         fresh = written(fresh, "fresh")
-        fresh.select("id").write.mode("overwrite").parquet(at("seen"))
         held = fresh.select("id", "rank", F.explode("keys").alias("key"))
-        mine = fresh.where("text_key is not null").select("text_key")
-        one = lambda c: F.first(c).alias(c)
-        # texts of records that turn out to be repeats stay too: without an exact key they match nothing
-        texts = narrowed(signed, mine, "text_key").groupBy("text_key").agg(one("words"), one("bands"), one("bits"))
-        put = lambda df, name, *by: df.write.mode("overwrite").option("compression", "zstd").partitionBy(*by).parquet(at(name))
-        put(texts, "texts")
-        texts = self.spark.read.schema(TABLES["texts"]).parquet(at("texts"))
-        banded = texts.select("text_key", F.posexplode("bands").alias("i", "band"))
-        put(banded.select("band", "text_key", "i", F.pmod("band", F.lit(self.shards)).cast("int").alias("shard")), "bands", "shard")
-        bands = self.spark.read.schema(TABLES["bands"]).parquet(at("bands"))
-
-        inner, outer, crowded, busy = _candidates(bands, past["bands"], self.rule)
+        # one record stands for each text, so copies are not banded again and again
+        stand = written(fresh.where("text_key is not null").groupBy("text_key").agg(F.min("id").alias("id")), "stand")
+        texts = narrowed(signed, stand, "id", "text_key")
+        put("pending", texts.select(F.explode("bands").alias("band"), "text_key", "mark"))
+        new = self.tables["pending"].rows([batch])
+
         gone = None
-        if past["keys"] is not None:
+        if past:
             hits = held.join(past["keys"], "key").select("id", "of")
-            old = _verified(outer, texts, past["texts"], self.rule)
-            if busy is not None:
-                mine, theirs = busy
-                # texts of records that were repeats are stored too, but only accepted ones count
-                live = past["keys"].select("key").distinct()
-                theirs = theirs.withColumn("key", text_id(F.col("text_key"))).join(live, "key", "left_semi")
-                close = written(_across(mine.join(texts, "text_key"), theirs.join(past["texts"], "text_key"), self.rule), "close")
-                old = old.unionByName(_exactly(close, texts, past["texts"], self.rule))
+            pairs = self._old_pairs(new, past["bands"], batch)
+            old = _verified(pairs, texts, past["texts"], self.rule)
             old = old.select(text_id(F.col("a")).alias("mine"), text_id(F.col("b")).alias("key")).join(past["keys"], "key")
             hits = hits.unionByName(held.join(old.select(F.col("mine").alias("key"), "of"), "key").select("id", "of"))
             gone = written(hits.groupBy("id").agg(F.min("of").alias("of")), "gone", keep=True)
             held = held.join(gone, "id", "left_anti")
-        _, repeats = self._settled(held, texts, inner, crowded, fresh)
+        repeats = self._settled(held, texts, new, fresh)
 
         lost = repeats.select("rank.id")
         if gone is not None:
             lost = lost.unionByName(gone.select("id"))
-        kept = fresh.join(lost, "id", "left_anti")
-        put(kept.select(F.explode("keys").alias("key"), F.col("rank").alias("of")), "keys")
-        fs, marker = hadoop_fs(self.spark, at("committed"))
-        fs.create(marker, False).close()
-        out = repeats.select("rank.id", F.col("of.id").alias("of_id"))
-        return out if gone is None else out.unionByName(gone.select("id", F.col("of.id").alias("of_id")))
-
-    def _settled(self, held: DataFrame, texts: DataFrame, inner: DataFrame, crowded: DataFrame | None, fresh: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(near, repeats) of a batch on its own.
+        kept = written(fresh.join(lost, "id", "left_anti"), "kept")
+        out = written(stand.select("text_key").join(kept.select("text_key").distinct(), "text_key", "left_anti"), "out")
+        put("seen", fresh.select("id"))
+        put("keys", kept.select(F.explode("keys").alias("key"), F.col("rank").alias("of")))
+        put("texts", narrowed(texts, out, "text_key", how="left_anti").dropDuplicates(["text_key"]))
+        put("bands", narrowed(new, out, "text_key", how="left_anti"), placed=True)
+        self.markers.commit(batch)
+        for n in PENDING:
+            self.tables[n].remove(batch)
+        found = repeats.select("rank.id", F.col("of.id").alias("of_id"))
+        return found if gone is None else found.unionByName(gone.select("id", F.col("of.id").alias("of_id")))
+
+    def _sized(self, new: DataFrame) -> DataFrame:
+        """Band rows with the size n of their bucket, counted where they lie."""
+        return new.withColumn("n", F.count("*").over(Window.partitionBy("band")))
+
+    def _old_pairs(self, new: DataFrame, old: DataFrame, batch: int) -> DataFrame:
+        """Pairs (a new, b old) that share a bucket and are close by their marks.
+
+        Stored rows without a partner in the batch fall away inside their bucket, before
+        anything is counted.
+        """
+        most = self.rule.bucket
+        matched = old.join(new.select("band"), "band", "left_semi").withColumn("m", F.count("*").over(Window.partitionBy("band")))
+        self.tables["matched"].put(matched, batch, placed=True)
+        matched, sized = self.tables["matched"].rows([batch]), self._sized(new)
+        some = _met(_side(sized.where(F.col("n") <= most), "a"), _side(matched.where(F.col("m") <= most), "b"), ["band"], self.rule)
+        sizes = sized.select("band", "n").dropDuplicates(["band"]).join(matched.select("band", "m").dropDuplicates(["band"]), "band")
+        hot = written(sizes.where((F.col("n") > most) | (F.col("m") > most)).select("band"), "hot")
+        if not hot.isEmpty():
+            some = some.unionByName(_across(narrowed(new, hot, "band"), narrowed(matched, hot, "band"), self.rule))
+        return written(some.distinct(), "pairs")
+
+    def _settled(self, held: DataFrame, texts: DataFrame, new: DataFrame, fresh: DataFrame) -> DataFrame:
+        """(rank, of) of the batch's records that repeat one accepted in the batch.
 
         All pairs of a crowded bucket would be too many, and most of its texts may repeat
         its earliest. So all are compared with that one, the batch is settled, and then all
@@ -378,12 +391,16 @@ class History:
             contested = written(held.join(ids, "id", "left_semi").select("rank", "key"), "contested")
             return written(settle(contested, near)[1], "repeats", keep=True)
 
-        near = written(both(_verified(inner, texts, texts, self.rule)), "near")
-        if crowded is None:
-            return near, resolve(near)
+        sized = self._sized(new)
+        some = sized.where((F.col("n") > 1) & (F.col("n") <= self.rule.bucket))
+        pairs = _met(_side(some, "a"), _side(new, "b"), ["band"], self.rule).where("a < b").distinct()
+        near = written(both(_verified(written(pairs, "pairs"), texts, texts, self.rule)), "near")
+        crowded = written(sized.where(F.col("n") > self.rule.bucket).select("band", "text_key", "mark"), "crowded")
+        if crowded.isEmpty():
+            return resolve(near)
         holders = written(fresh.join(held.select("id").distinct(), "id", "left_semi").where("text_key is not null").select("text_key", "rank"), "holders")
         # rest: a bucket's members that were not yet compared with all the others
-        rest = crowded.join(holders.groupBy("text_key").agg(F.min("rank").alias("rank")), "text_key").join(texts.select("text_key", "bits"), "text_key")
+        rest = crowded.join(holders.groupBy("text_key").agg(F.min("rank").alias("rank")), "text_key")
         rest, repeats, turn = written(rest, "crowded"), None, 0
         while True:
             taken = rest
@@ -393,15 +410,15 @@ class History:
                 taken = rest.drop("rank").join(accepted, "text_key")
             order = Window.partitionBy("band").orderBy("rank", "text_key")
             leaders = taken.withColumn("k", F.row_number().over(order)).where(F.col("k") <= BLOCKS[min(turn, len(BLOCKS) - 1)])
-            leaders = written(leaders.select("band", "text_key", "bits"), "leaders")
+            leaders = written(leaders.select("band", "text_key", "mark"), "leaders")
             if leaders.isEmpty():
-                return near, resolve(near) if repeats is None else repeats
+                return resolve(near) if repeats is None else repeats
             close = _across(rest, leaders, self.rule).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            found = written(both(_exactly(written(close, "close"), texts, texts, self.rule)).join(near, ["key", "other"], "left_anti").distinct(), "found")
-            new = not found.isEmpty()
-            if new:
+            found = written(both(_verified(written(close, "pairs"), texts, texts, self.rule)).join(near, ["key", "other"], "left_anti").distinct(), "found")
+            more = not found.isEmpty()
+            if more:
                 near = written(near.unionByName(found), "near")
-            if new or repeats is None:
+            if more or repeats is None:
                 repeats = resolve(near)
             rest = written(rest.join(leaders, ["band", "text_key"], "left_anti"), "crowded")
             turn += 1

@@ -67,7 +67,8 @@ def _repeats(spark: SparkSession, d: str, steps: int) -> DataFrame:
     bodies = table(spark, d, "raw_events").where("content_kind is null or content_kind <> 'derivatives_snapshot'").select(record_key(F.col("event_id")).alias("id"), "body")
     signed = written(history.sign(bodies.where("id is not null and body is not null"), history.Likeness()), "signed")
     low, high = events.agg(F.min("at"), F.max("at")).first()
-    store, found = history.History(spark, fresh_dir(spark, "history")), []
+    # about one bucket for ten thousand events, so that a bucket's rows fit one task at any size
+    store, found = history.History(spark, fresh_dir(spark, "history"), buckets=max(16, -(-events.count() // 10_000))), []
     for k in range(steps):
         if low is None:
             mine = events if k == 0 else events.limit(0)
