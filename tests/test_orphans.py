@@ -1,13 +1,13 @@
 from tidemark.operators.orphans import orphan_counts, orphans, references
 
 P = "s3://store/"
-OBJECTS = "object_key string, stored_at_ms long, deleted_at_ms long"
+OBJECTS = "from_table string, object_key string, stored_at_ms long, deleted_at_ms long"
 
 
 def run(spark, rows, stored):
     table = spark.createDataFrame(rows, "record string, key string, at long, reason string")
     refs = references(table, "t", "record", "key", "at", P)
-    return refs, orphans(refs, spark.createDataFrame(stored, OBJECTS), P)
+    return refs, orphans(refs, spark.createDataFrame([("t", *s) for s in stored], OBJECTS), P)
 
 
 def test_reasons_and_ways_of_writing_keys(spark):
@@ -28,3 +28,17 @@ def test_counts_and_empty_tables(spark):
     assert got == {("1970-01-01", 2, 2), ("1970-01-02", 1, 0)}
     assert run(spark, [], [("a", 1, None)])[1].count() == 0
     assert [r.reason for r in run(spark, [("x", "k", 1, "")], [])[1].collect()] == ["missing"]
+
+
+def test_a_hot_key_with_many_times_is_dealt_to_many_tasks(spark):
+    refs = spark.range(100_000).selectExpr("'t' as from_table", "cast(id as string) as record_key", "'hot' as ref_key", "id as ref_ms")
+    stored = spark.createDataFrame([("t", "hot", 10, 40_000), ("t", "hot", 60_000, None)], OBJECTS)
+    got = {r.reason: r["count"] for r in orphans(refs, stored, P).groupBy("reason").count().collect()}
+    assert got == {"late": 10, "deleted": 20_000}
+    bad = orphans(refs, stored.where("stored_at_ms < 0"), P)
+    assert bad.where("reason = 'missing'").count() == 100_000
+
+
+def test_the_same_key_in_another_table_is_no_target(spark):
+    refs = spark.createDataFrame([("u", "r", "a", 5)], "from_table string, record_key string, ref_key string, ref_ms long")
+    assert [r.reason for r in orphans(refs, spark.createDataFrame([("t", "a", 1, None)], OBJECTS), P).collect()] == ["missing"]

@@ -1,21 +1,29 @@
 """Exactly one delivery of every identifier, over any number of batches.
 
-Identifiers get exact dense codes from a sharded dictionary that only grows.  What has
-been seen is a set of 4 KiB bitmaps per shard (32,768 codes each; Parquet compresses
-them).  A batch takes its earliest arrival of every identifier whose bit is not set,
-then dictionary and bitmaps of the next generation are written and committed together
-by one marker file: a failure in between leaves the previous generation in force.
+Identifiers get exact dense codes from a dictionary that only grows, numbered shard by
+shard.  What has been seen is a set of 4 KiB bitmaps per shard (32,768 codes each;
+Parquet compresses them).  A batch takes its earliest arrival of every identifier whose
+bit is not set; new codes, the shards' highest codes and the bits set are appended and
+committed together by one marker, and bitmaps are united when they are read.  The
+dictionary lies in hash buckets of the identifier, so probing it shuffles the batch only.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.text import record_key
-from tidemark.session import hadoop_fs
+from tidemark.session import scratch, written
+from tidemark.sources.buckets import Buckets, Markers
 
-DICTIONARY = "shard int, id string, code bigint"
-BITMAPS = "shard int, bucket bigint, bits binary"
+#: Tables of the state, and the column whose hash buckets their rows lie in.
+TABLES = {
+    "dictionary": ("id string, shard int, code bigint", "id"),
+    "tops": ("shard int, top bigint", "shard"),
+    "bitmaps": ("shard int, bucket bigint, bits binary", "shard"),
+}
 
 
 def bit_of(bits: Column, code: Column) -> Column:
@@ -26,30 +34,21 @@ def bit_of(bits: Column, code: Column) -> Column:
 
 
 class SeenIds:
-    """State under `path`. shards: fixed when the state is made; about one per million
-    identifiers expected keeps every shard's numbering in one task small."""
+    """State under `path`. shards: parts that new identifiers are numbered in; about one per
+    million new ones keeps every numbering in one small task. It may differ from batch to
+    batch: codes are looked up by identifier, and a shard goes on from its highest code."""
 
     def __init__(self, spark: SparkSession, path: str, shards: int = 64):
         self.spark, self.path, self.shards = spark, path.rstrip("/"), shards
-
-    def generation(self) -> int:
-        """Number of the last committed generation; 0 if there is none."""
-        fs, at = hadoop_fs(self.spark, self.path)
-        if not fs.exists(at):
-            return 0
-        names = [s.getPath().getName() for s in fs.listStatus(at)]
-        return max([int(n.removeprefix("committed-")) for n in names if n.startswith("committed-")], default=0)
-
-    def _read(self, kind: str, schema: str, gens: list[int]) -> DataFrame:
-        if not gens:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{kind}-{g}" for g in gens])
+        self.tables = {n: Buckets(spark, f"{self.path}/{n}", *spec, min(max(shards, 8), 4096)) for n, spec in TABLES.items()}
+        self.markers = Markers(spark, self.path)
 
     def dictionary(self) -> DataFrame:
-        return self._read("dictionary", DICTIONARY, list(range(1, self.generation() + 1)))
+        return self.tables["dictionary"].rows(self.markers.batches())
 
     def bitmaps(self) -> DataFrame:
-        return self._read("bitmaps", BITMAPS, [g] if (g := self.generation()) else [])
+        """The bitmap of every shard and bucket, united over all batches."""
+        return self.tables["bitmaps"].rows(self.markers.batches()).groupBy("shard", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
 
     def admit(self, deliveries: DataFrame) -> DataFrame:
         """deliveries(delivery_id, id, at_ms) → the admitted (delivery_id, id), one per unseen id.
@@ -57,47 +56,55 @@ class SeenIds:
         Of several arrivals of an id the one with the smallest at_ms (null last), then
         delivery_id, is taken.  Null ids are no identifiers and don't come out.
         """
-        gen = self.generation()
-        first = deliveries.where("id is not null").groupBy("id").agg(
-            F.min(F.struct(F.col("at_ms").isNull().alias("none"), "at_ms", "delivery_id")).alias("first")
-        ).select("id", F.pmod(F.xxhash64("id"), F.lit(self.shards)).cast("int").alias("shard"), F.col("first.delivery_id").alias("delivery_id"))
-        if not gen:
-            new, old = first, None
-        else:
-            known = first.join(self.dictionary(), ["shard", "id"], "left")
-            old = known.where("code is not null")
-            new = known.where("code is null").drop("code")
-        tops = self.dictionary().groupBy("shard").agg(F.max("code").alias("top"))
-        coded = new.withColumn("code", F.row_number().over(Window.partitionBy("shard").orderBy("id")).cast("long"))
-        if gen:
-            coded = coded.join(F.broadcast(tops), "shard", "left").withColumn("code", F.col("code") + F.coalesce("top", F.lit(0).cast("long"))).drop("top")
-        coded.write.mode("overwrite").parquet(f"{self.path}/dictionary-{gen + 1}")
-        coded = self.spark.read.schema("id string, shard int, delivery_id bigint, code bigint").parquet(f"{self.path}/dictionary-{gen + 1}")
-        unseen = coded
-        if gen:
-            # an id may be in the dictionary without its bit, if it was coded but never admitted
-            probed = old.withColumn("bucket", F.bitmap_bucket_number("code")).join(self.bitmaps(), ["shard", "bucket"], "left")
-            unseen = unseen.unionByName(
-                probed.where(F.col("bits").isNull() | ~bit_of(F.col("bits"), F.col("code"))).select("id", "shard", "delivery_id", "code")
-            )
-        fresh = unseen.groupBy("shard", F.bitmap_bucket_number("code").alias("bucket")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position("code")).alias("bits")
-        )
-        merged = fresh.unionByName(self.bitmaps()).groupBy("shard", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-        merged.write.mode("overwrite").parquet(f"{self.path}/bitmaps-{gen + 1}")
-        admitted = f"{self.path}/admitted-{gen + 1}"
-        unseen.select("delivery_id", "id").write.mode("overwrite").parquet(admitted)
-        fs, at = hadoop_fs(self.spark, f"{self.path}/committed-{gen + 1}")
-        fs.create(at, False).close()
-        return self.spark.read.schema("delivery_id bigint, id string").parquet(admitted)
-
-
-def surplus(deliveries: DataFrame, state: SeenIds, slices: int = 2) -> DataFrame:
-    """All deliveries with an id but the admitted one of each.
+        with scratch(self.spark):
+            return self._admit(deliveries)
+
+    def _admit(self, deliveries: DataFrame) -> DataFrame:
+        done = self.markers.batches()
+        batch = max(done, default=0) + 1
+        first = deliveries.where("id is not null").groupBy("id").agg(F.min(F.struct(F.col("at_ms").isNull().alias("none"), "at_ms", "delivery_id")).alias("first"))
+        first = first.select("id", F.col("first.delivery_id").alias("delivery_id"))
+        # an id may be in the dictionary without its bit, if it was coded but never admitted
+        known = written(first.join(self.dictionary(), "id", "left"), "known")
+        own = F.pmod(F.xxhash64("id"), F.lit(self.shards)).cast("int")
+        new = known.where("code is null").select("id", "delivery_id", own.alias("shard")).withColumn("code", F.row_number().over(Window.partitionBy("shard").orderBy("id")).cast("long"))
+        if done:
+            # one row per shard
+            tops = self.tables["tops"].rows(done).groupBy("shard").agg(F.max("top").alias("top"))
+            new = new.join(F.broadcast(tops), "shard", "left").withColumn("code", F.col("code") + F.coalesce("top", F.lit(0).cast("long"))).drop("top")
+        new = written(new.select("id", "delivery_id", "shard", "code"), "coded")
+        unseen = new
+        if done:
+            probed = known.where("code is not null").withColumn("bucket", F.bitmap_bucket_number("code")).join(self.bitmaps(), ["shard", "bucket"], "left")
+            unseen = unseen.unionByName(probed.where(F.col("bits").isNull() | ~bit_of(F.col("bits"), F.col("code"))).select("id", "delivery_id", "shard", "code"))
+        fresh = unseen.groupBy("shard", F.bitmap_bucket_number("code").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("code")).alias("bits"))
+        self.tables["dictionary"].put(new, batch)
+        self.tables["tops"].put(new.groupBy("shard").agg(F.max("code").alias("top")), batch)
+        self.tables["bitmaps"].put(fresh, batch)
+        out = written(unseen.select("delivery_id", "id"), "admitted", keep=True)
+        self.markers.commit(batch)
+        return out
+
+    def compact(self) -> None:
+        """All batches so far as one: one file a bucket, one bitmap per shard and bucket."""
+        done = self.markers.batches()
+        if len(done) < 2:
+            return
+        batch, t = done[-1] + 1, self.tables
+        t["dictionary"].put(self.dictionary(), batch, placed=True)
+        t["tops"].put(t["tops"].rows(done).groupBy("shard").agg(F.max("top").alias("top")), batch)
+        t["bitmaps"].put(self.bitmaps(), batch)
+        self.markers.commit(batch, "compacted")
+        for table in t.values():
+            for old in done:
+                table.remove(old)
+
+
+def admitted(deliveries: DataFrame, state: SeenIds, slices: int = 2) -> DataFrame:
+    """(delivery_id, id) of the one delivery of each id.
 
     The deliveries are admitted in `slices` steps of rising at_ms, so that an arrival of
-    an earlier step always wins; null times come last.  The anti-join is on the unique
-    delivery_id: a hot identifier cannot skew it.
+    an earlier step always wins; null times come last.
     """
     rows = deliveries.where("id is not null")
     low, high = rows.agg(F.min("at_ms"), F.max("at_ms")).first()
@@ -107,11 +114,15 @@ def surplus(deliveries: DataFrame, state: SeenIds, slices: int = 2) -> DataFrame
         width = (high - low) // slices + 1
         number = F.coalesce(F.least(F.floor((F.col("at_ms") - F.lit(low)) / width), F.lit(slices - 1)), F.lit(slices - 1))
         steps = [number == k for k in range(slices)]
-    kept = None
-    for step in steps:
-        now = state.admit(rows.where(step))
-        kept = now if kept is None else kept.unionByName(now)
-    return rows.join(kept, "delivery_id", "left_anti")
+    return reduce(DataFrame.unionByName, [state.admit(rows.where(step)) for step in steps])
+
+
+def surplus(deliveries: DataFrame, kept: DataFrame) -> DataFrame:
+    """All deliveries with an id but the admitted ones.
+
+    The anti-join is on the unique delivery_id: a hot identifier cannot skew it.
+    """
+    return deliveries.where("id is not null").join(kept, "delivery_id", "left_anti")
 
 
 def pointer_deliveries(pointers: DataFrame) -> DataFrame:

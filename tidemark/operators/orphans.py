@@ -1,16 +1,22 @@
 """References to records that do not exist.
 
-Distinct (key, time) pairs of the references are anti-joined against the distinct keys
-ever stored; the rest are tested against the storage intervals of their key.  Only then
-are the verdicts joined back to the referring rows, for cases or counts per table and
-day.  A key that a third of all rows share is one row in the tests.
+The distinct keys referred to are anti-joined against the keys ever stored: what is left
+is missing.  Missing keys and the storage intervals of the others are joined back to the
+referring rows, which are dealt to SALTS parts per key: a key that a third of all rows
+share is one row in the anti-join and lies in as many tasks as there are parts.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.text import utrim
+from tidemark.session import written
+
+#: Parts that the references to one key are dealt to; objects are copied to all of them.
+SALTS = 16
 
 
 def object_key(c: Column, prefix: str) -> Column:
@@ -34,28 +40,32 @@ def references(rows: DataFrame, table: str, record: str, key: str, at_ms: str, p
     ).where("ref_key is not null").distinct()
 
 
+def gathered(parts: list[DataFrame]) -> DataFrame:
+    """References of several tables as one table that is computed once."""
+    return written(reduce(DataFrame.unionByName, parts), "references")
+
+
 def orphans(refs: DataFrame, stored: DataFrame, prefix: str) -> DataFrame:
     """refs without a live object, with day_utc and reason.
 
-    stored(object_key, stored_at_ms, deleted_at_ms). Live at time t: stored at or before
-    t and not deleted at or before t. Reason: missing (never stored under that key),
-    deleted (one was stored before and is gone), else late. A reference without time is
-    only ever `missing`, under a null day.
+    stored(from_table, object_key, stored_at_ms, deleted_at_ms): the objects that the
+    references of from_table must find. Live at time t: stored at or before t and not
+    deleted at or before t. Reason: missing (never stored under that key), deleted (one
+    was stored before and is gone), else late. A reference without time is only ever
+    `missing`, under a null day.
     """
-    versions = stored.select(object_key(F.col("object_key"), prefix).alias("ref_key"), "stored_at_ms", "deleted_at_ms").where("ref_key is not null").distinct()
-    asked = refs.select("ref_key", "ref_ms").distinct()
-    missing = asked.join(versions.select("ref_key").distinct(), "ref_key", "left_anti").withColumn("reason", F.lit("missing"))
+    key = ["from_table", "ref_key"]
+    versions = stored.select("from_table", object_key(F.col("object_key"), prefix).alias("ref_key"), "stored_at_ms", "deleted_at_ms").where("ref_key is not null").distinct()
+    missing = refs.select(*key).distinct().join(versions.select(*key).distinct(), key, "left_anti")
+    here = versions.withColumn("absent", F.lit(False)).unionByName(missing.withColumn("absent", F.lit(True)), allowMissingColumns=True)
+    dealt = refs.withColumn("salt", F.pmod(F.xxhash64("record_key", "ref_ms"), F.lit(SALTS)).cast("int"))
+    both = dealt.join(here.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [*key, "salt"])
     before = F.col("stored_at_ms") <= F.col("ref_ms")
     live = before & F.coalesce(F.col("deleted_at_ms") > F.col("ref_ms"), F.lit(True))
-    known = asked.where("ref_ms is not null").join(versions, "ref_key").groupBy("ref_key", "ref_ms").agg(
-        F.max(F.coalesce(live, F.lit(False))).alias("live"), F.max(F.coalesce(before, F.lit(False))).alias("before")
-    )
-    gone = known.where("not live").select("ref_key", "ref_ms", F.when(F.col("before"), "deleted").otherwise("late").alias("reason"))
-    bad = missing.unionByName(gone).withColumnsRenamed({"ref_key": "k", "ref_ms": "t"})
-    day = day_utc(F.col("ref_ms"))
-    return refs.join(bad, (F.col("ref_key") == F.col("k")) & F.col("ref_ms").eqNullSafe(F.col("t"))).select(
-        "from_table", "record_key", day.alias("day_utc"), "reason", "ref_key"
-    )
+    most = lambda c: F.max(F.coalesce(c, F.lit(False)))
+    tested = both.groupBy(*key, "salt", "record_key", "ref_ms").agg(most(F.col("absent")).alias("absent"), most(live).alias("live"), most(before).alias("before"))
+    reason = F.when(F.col("absent"), "missing").when(F.col("ref_ms").isNotNull() & ~F.col("live"), F.when(F.col("before"), "deleted").otherwise("late"))
+    return tested.withColumn("reason", reason).where("reason is not null").select("from_table", "record_key", day_utc(F.col("ref_ms")).alias("day_utc"), "reason", "ref_key")
 
 
 def orphan_counts(refs: DataFrame, found: DataFrame) -> DataFrame:

@@ -1,10 +1,13 @@
 """Readings that are implausible for their own source.
 
-Three tests per measured field: impossible values; spikes against the source's level in
-the hours around; and stuck values.  Levels come from quantile sketches per (source,
-field, hour), built with map-side partial aggregation, stored as one small binary each,
-and merged over the neighbouring hours.  Sketches only pick the hours worth a look; an
-exact row-window check decides there.
+Tests per measured field: impossible values; spikes, that is readings outside the
+expanded interquartile fences of their hours or with an implausible rate of change, which
+are also far from the source's level; and stuck values, runs of zero variance.  Fences
+come from quantile sketches per (source, field, block of hours), merged over neighbouring
+blocks; a block holds about as many readings as a sketch needs to be no larger than they.
+
+Rows are brought to their source once; every window, sketch and merge after that works
+where the rows lie.  Only what is far by the exact windows is joined with the fences.
 """
 
 from __future__ import annotations
@@ -14,8 +17,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.session import written
-
 HOUR = 3_600_000
 FIELDS = ("mid_price", "spread_bps", "trade_volume")
 SOURCE = ["symbol", "venue", "field_name"]
@@ -25,19 +26,21 @@ SOURCE = ["symbol", "venue", "field_name"]
 class SpikeRule:
     """times: how many usual distances make a spike. longest: readings a spike may last.
     around_ms: half width of the span whose median is the level. stuck: readings in a row
-    that make a stuck value. hours: neighbouring hours merged on either side."""
+    that make a stuck value. block_ms, blocks: width of a sketch's block, and neighbours
+    merged on either side. fence: interquartile ranges that fences lie outside the quartiles."""
 
     times: float = 10.0
     longest: int = 3
     around_ms: int = 2 * HOUR
     stuck: int = 12
-    hours: int = 2
+    block_ms: int = 4 * HOUR
+    blocks: int = 1
     fence: float = 1.5
 
 
 def readings(summaries: DataFrame) -> DataFrame:
-    """One row per non-null reading; repeated rows count once."""
-    rows = summaries.select("slice_id", "symbol", "venue", "window_start_ms", "trade_count", *FIELDS).distinct()
+    """One row per non-null reading, by source; repeated rows count once."""
+    rows = summaries.select("slice_id", "symbol", "venue", "window_start_ms", "trade_count", *FIELDS).repartition("symbol", "venue").dropDuplicates()
     pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value")) for f in FIELDS]))
     volume = F.col("trade_volume")
     quiet = F.coalesce((F.col("trade_count") == 0) & (volume == 0), F.lit(False))
@@ -64,73 +67,73 @@ def impossible(v: Column) -> Column:
 
 
 def stuck_values(r: DataFrame, rule: SpikeRule) -> DataFrame:
-    """Readings within a run of `stuck` or more identical ones while trades are counted.
+    """Readings in a stretch of `stuck` ones in a row with zero variance, all with trades counted.
 
     A source has one reading per window, so its series is bounded by the time covered.
     """
-    w = Window.partitionBy(*SOURCE).orderBy("window_start_ms", "slice_id")
     live = F.coalesce(F.col("trade_count") > 0, F.lit(False)) & ~F.col("quiet") & finite(F.col("value"))
-    rows = r.withColumn("live", live)
-    same = F.lag("value").over(w).eqNullSafe(F.col("value"))
-    starts = ~(F.col("live") & F.coalesce(F.lag("live").over(w), F.lit(False)) & same)
-    rows = rows.withColumn("starts", starts.cast("int"))
-    rows = rows.withColumn("run", F.sum("starts").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    size = F.count("*").over(Window.partitionBy(*SOURCE, "run"))
-    return rows.withColumn("size", size).where(F.col("live") & (F.col("size") >= rule.stuck)).select("slice_id", "field_name")
-
+    order = Window.partitionBy(*SOURCE).orderBy("window_start_ms", "slice_id")
+    back, ahead = order.rowsBetween(1 - rule.stuck, 0), order.rowsBetween(0, rule.stuck - 1)
+    of = lambda f: f(F.when(F.col("live"), F.col("value"))).over(back)
+    still = (F.count(F.when(F.col("live"), 1)).over(back) == rule.stuck) & (of(F.min) == of(F.max))
+    rows = r.withColumn("live", live).withColumn("still", F.coalesce(still, F.lit(False)))
+    return rows.withColumn("stuck", F.max("still").over(ahead)).where("stuck").select("slice_id", "field_name")
+
+
+def fences(ok: DataFrame, rule: SpikeRule) -> DataFrame:
+    """(source, block, q1, q3): quartiles of each source's block and its neighbours, from merged sketches."""
+    sketches = ok.groupBy(*SOURCE, F.expr(f"window_start_ms div {rule.block_ms}").alias("block")).agg(F.kll_sketch_agg_double("value").alias("sketch"))
+    near = Window.partitionBy(*SOURCE).orderBy("block").rangeBetween(-rule.blocks, rule.blocks)
+    merged = sketches.withColumn("s", F.kll_merge_agg_double("sketch").over(near))
+    at = lambda q: F.kll_sketch_get_quantile_double("s", F.lit(q))
+    return merged.select(*SOURCE, "block", at(0.25).alias("q1"), at(0.75).alias("q3"))
 
-def hour_sketches(r: DataFrame) -> DataFrame:
-    """(source, hour, sketch): mergeable, so later partitions and batches can be added."""
-    ok = r.where(finite(F.col("value")) & ~F.col("quiet"))
-    hour = F.floor(F.col("window_start_ms") / HOUR).cast("long").alias("hour")
-    return ok.groupBy(*SOURCE, hour).agg(F.kll_sketch_agg_double("value").alias("sketch"))
 
-
-def contexts(sketches: DataFrame, rule: SpikeRule) -> DataFrame:
-    """Quartiles of each source and hour, over the sketches of the hours around."""
-    near = F.explode(F.sequence(F.lit(-rule.hours), F.lit(rule.hours)))
-    spread = sketches.select(*SOURCE, "hour", "sketch", near.alias("k")).withColumn("hour", F.col("hour") + F.col("k"))
-    merged = spread.groupBy(*SOURCE, "hour").agg(F.kll_merge_agg_double("sketch").alias("s"))
-    at = lambda q: F.kll_sketch_get_quantile_double("s", F.lit(q))
-    return merged.select(*SOURCE, "hour", at(0.25).alias("q1"), at(0.5).alias("level"), at(0.75).alias("q3"))
+def _median(values: Column) -> Column:
+    """The exact median of a sorted array."""
+    at = lambda i: F.element_at(values, i.cast("int"))
+    n = F.size(values)
+    return (at(F.floor((n + 1) / 2)) + at(F.floor(n / 2) + 1)) / 2
 
 
 def spikes(r: DataFrame, rule: SpikeRule) -> DataFrame:
-    """Short excursions far from the level of the hours around, exact for the hours picked.
-
-    The level is the median of the source's finite readings within around_ms either
-    side, so a lasting change of level is its own level right up to the change.
+    """Short excursions far from the level of the hours around.
+
+    The level is the exact median of the source's finite readings within around_ms
+    either side, so a lasting change of level is its own level right up to the change;
+    the usual distance is the exact median of all distances from it. What is far for
+    `longest` readings at most is a spike if it also lies outside the fences, in a
+    block whose readings are so wide apart that fences say nothing, or after or before
+    a step of `times` usual distances.
     """
-    ok = r.where(finite(F.col("value")) & ~F.col("quiet")).withColumn("hour", F.floor(F.col("window_start_ms") / HOUR).cast("long"))
-    placed = ok.join(contexts(hour_sketches(r), rule), [*SOURCE, "hour"])
-    placed = written(placed.withColumn("off", F.abs(F.col("value") - F.col("level"))), "spikes")
-    usual = placed.groupBy(*SOURCE).agg(F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double("off"), F.lit(0.5)).alias("usual"))
+    ok = r.where(finite(F.col("value")) & ~F.col("quiet"))
+    series = Window.partitionBy(*SOURCE)
+    around = series.orderBy("window_start_ms").rangeBetween(-rule.around_ms, rule.around_ms)
+    order = series.orderBy("window_start_ms", "slice_id")
+    rows = ok.withColumn("off", F.abs(F.col("value") - _median(F.sort_array(F.collect_list("value").over(around)))))
+    rows = rows.withColumn("usual", F.percentile("off", F.lit(0.5)).over(series))
+    rows = rows.withColumn("far", F.col("off") > F.lit(rule.times) * F.col("usual"))
+    step = lambda other: F.abs(F.col("value") - other.over(order)) > F.lit(rule.times) * F.col("usual")
+    rows = rows.withColumn("jumps", F.coalesce(step(F.lag("value")), F.lit(False)) | F.coalesce(step(F.lead("value")), F.lit(False)))
+    rows = rows.withColumn("starts", (F.col("far") & ~F.coalesce(F.lag("far").over(order), F.lit(False)) | ~F.col("far")).cast("int"))
+    rows = rows.withColumn("run", F.sum("starts").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    short = rows.withColumn("size", F.count("*").over(Window.partitionBy(*SOURCE, "run"))).where(F.col("far") & (F.col("usual") > 0) & (F.col("size") <= rule.longest))
+    short = short.withColumn("block", F.expr(f"window_start_ms div {rule.block_ms}"))
+    same = [F.col(c).eqNullSafe(F.col(f"f_{c}")) for c in [*SOURCE, "block"]]
+    near = fences(ok, rule).withColumnsRenamed({c: f"f_{c}" for c in [*SOURCE, "block"]})
     wide = F.lit(rule.fence) * (F.col("q3") - F.col("q1"))
     outside = (F.col("value") > F.col("q3") + wide) | (F.col("value") < F.col("q1") - wide)
     unsettled = (F.col("q3") - F.col("q1")) > 4 * F.col("usual")
-    picked = placed.join(usual, SOURCE).where((F.col("usual") > 0) & (outside | unsettled))
-    reach = rule.around_ms // HOUR + 2
-    hours = (
-        picked.select(*SOURCE, "usual", F.explode(F.sequence(F.col("hour") - reach, F.col("hour") + reach)).alias("hour"))
-        .groupBy(*SOURCE, "hour").agg(F.first("usual").alias("usual"))
-    )
-    rows = placed.select("slice_id", *SOURCE, "hour", "window_start_ms", "value").join(hours, [*SOURCE, "hour"])
-    by = Window.partitionBy(*SOURCE).orderBy("window_start_ms")
-    level = F.percentile("value", F.lit(0.5)).over(by.rangeBetween(-rule.around_ms, rule.around_ms))
-    far = rows.withColumn("far", F.abs(F.col("value") - level) > F.lit(rule.times) * F.col("usual"))
-    order = Window.partitionBy(*SOURCE).orderBy("window_start_ms", "slice_id")
-    far = far.withColumn("starts", (~(F.col("far") & F.coalesce(F.lag("far").over(order), F.lit(False)))).cast("int"))
-    far = far.withColumn("run", F.sum("starts").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    size = F.count("*").over(Window.partitionBy(*SOURCE, "run"))
-    return far.withColumn("size", size).where(F.col("far") & (F.col("size") <= rule.longest)).select("slice_id", "field_name")
+    return short.join(near, reduce(Column.__and__, same)).where(outside | unsettled | F.col("jumps")).select("slice_id", "field_name")
 
 
 def implausible(summaries: DataFrame, rule: SpikeRule = SpikeRule()) -> DataFrame:
     """(slice_id, field_name) of every implausible reading, each once.
 
     Null readings are none; NaN and infinities are impossible and never part of a level;
-    a source whose usual distance is 0 has no spikes.
+    a source whose usual distance is 0 has no spikes. Null symbols or venues are a
+    source of their own.
     """
-    r = written(readings(summaries), "readings")
+    r = readings(summaries)
     parts = [r.where(impossible(F.col("value"))).select("slice_id", "field_name"), spikes(r, rule), stuck_values(r, rule)]
     return reduce(DataFrame.unionByName, parts).distinct()

@@ -13,61 +13,72 @@ from tidemark.sources.tables import table
 STORE = "s3://lume-market/"
 
 
-def _arrivals(spark: SparkSession, d: str) -> DataFrame:
+def _arrivals(spark: SparkSession, d: str) -> late.PartialStore:
+    """A store that was fed all pointers and packets, batches with odd numbers first, so that later feeds correct earlier ones."""
     both = late.pointer_records(table(spark, d, "raw_event_pointers")).unionByName(late.packet_records(table(spark, d, "structured_packets")))
-    return late.Lateness().classify(both)
+    store = late.PartialStore(spark, fresh_dir(spark, "late"), buckets=max(8, -(-both.count() // 200_000)))
+    odd = F.coalesce(F.col("batch_id") % 2 != 0, F.lit(False))
+    for feed in (both.where(odd), both.where(~odd)):
+        store.add(feed)
+    return store
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    cases = _arrivals(spark, d).where("verdict <> 'on_time'")
-    return cases.select("record_kind", "record_id", "period_start_ms", "verdict").distinct()
+    """What the store merged late and what it refused."""
+    return _arrivals(spark, d).corrections().distinct()
 
 
 def p1_hourly(spark: SparkSession, d: str) -> DataFrame:
-    rule = late.Lateness()
-    return rule.combine(rule.partials(_arrivals(spark, d)))
+    """Figures merged from the partials of all batches."""
+    return _arrivals(spark, d).figures()
 
 
-def _surplus(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    rows = delivery.pointer_deliveries(table(spark, d, "raw_event_pointers"))
-    return rows, delivery.surplus(rows, delivery.SeenIds(spark, fresh_dir(spark, "seen")))
+def _delivered(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """All deliveries, and the admitted one of each identifier."""
+    pointers = table(spark, d, "raw_event_pointers")
+    rows = delivery.pointer_deliveries(pointers)
+    # about one shard for a million identifiers keeps every numbering in one small task
+    shards = max(16, -(-pointers.count() // 1_000_000))
+    return rows, delivery.admitted(rows, delivery.SeenIds(spark, fresh_dir(spark, "seen"), shards))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return _surplus(spark, d)[1].select("delivery_id").distinct()
+    return delivery.surplus(*_delivered(spark, d)).select("delivery_id").distinct()
 
 
 def p5_kept(spark: SparkSession, d: str) -> DataFrame:
     """The one delivery of each event."""
-    rows, surplus = _surplus(spark, d)
-    return rows.where("id is not null").join(surplus, "delivery_id", "left_anti").select("delivery_id", F.col("id").alias("event_id"))
+    return _delivered(spark, d)[1].select("delivery_id", F.col("id").alias("event_id"))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return spikes.implausible(table(spark, d, "market_symbol_summaries"))
 
 
-def _references(spark: SparkSession, d: str) -> list[tuple[DataFrame, DataFrame]]:
-    """Each kind of reference with the objects it must find."""
+def _references(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """All references, and all objects they must find."""
     t = lambda n: table(spark, d, n)
-    stored = lambda n, key: t(n).select(F.col(key).alias("object_key"), "stored_at_ms", "deleted_at_ms")
-    return [
-        (orphans.references(t("l1_index"), "l1_index", "index_key", "canonical_manifest_key", "finished_at_ms", STORE), stored("l1_manifest", "manifest_key")),
-        (orphans.references(t("l1_manifest"), "l1_manifest", "manifest_key", "report_key", "finished_at_ms", STORE), stored("l1_report", "report_key")),
-        (
-            orphans.references(t("market_context_snapshots"), "market_context_snapshots", "snapshot_id", "symbol_universe_snapshot_key", "captured_at_ms", STORE),
-            stored("symbol_universe_snapshots", "snapshot_key"),
-        ),
+    stored = lambda n, key, of: t(n).select(F.lit(of).alias("from_table"), F.col(key).alias("object_key"), "stored_at_ms", "deleted_at_ms")
+    refs = [
+        orphans.references(t("l1_index"), "l1_index", "index_key", "canonical_manifest_key", "finished_at_ms", STORE),
+        orphans.references(t("l1_manifest"), "l1_manifest", "manifest_key", "report_key", "finished_at_ms", STORE),
+        orphans.references(t("market_context_snapshots"), "market_context_snapshots", "snapshot_id", "symbol_universe_snapshot_key", "captured_at_ms", STORE),
     ]
+    objects = [
+        stored("l1_manifest", "manifest_key", "l1_index"), stored("l1_report", "report_key", "l1_manifest"),
+        stored("symbol_universe_snapshots", "snapshot_key", "market_context_snapshots"),
+    ]
+    return orphans.gathered(refs), reduce(DataFrame.unionByName, objects)
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    parts = [orphans.orphans(refs, stored, STORE) for refs, stored in _references(spark, d)]
-    return reduce(DataFrame.unionByName, parts).select("from_table", "record_key", "day_utc", "reason").distinct()
+    refs, objects = _references(spark, d)
+    return orphans.orphans(refs, objects, STORE).select("from_table", "record_key", "day_utc", "reason").distinct()
 
 
 def p7_counts(spark: SparkSession, d: str) -> DataFrame:
-    return reduce(DataFrame.unionByName, [orphans.orphan_counts(refs, orphans.orphans(refs, stored, STORE)) for refs, stored in _references(spark, d)])
+    refs, objects = _references(spark, d)
+    return orphans.orphan_counts(refs, orphans.orphans(refs, objects, STORE))
 
 
 _TRIM = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
