@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -47,6 +48,9 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         for path in _scratch.pop():
             fs, at = hadoop_fs(spark, path)
             fs.delete(at, True)
+        # plans that nothing refers to any more give their shuffle files back
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def written(df: DataFrame, name: str = "cut", keep: bool = False) -> DataFrame:
