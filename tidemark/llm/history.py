@@ -50,15 +50,16 @@ class Likeness:
 
     least_words: int = 12
     share: float = 0.8
-    bands: int = 32
-    rows: int = 5
-    bucket: int = 256
-    near: float = 0.43
+    bands: int = 48
+    rows: int = 6
+    bucket: int = 1024
+    near: float = 0.5
     seed: int = 20240101
 
 
 #: Bits of a mark that come from the signature, and the step between its length classes.
-MARK_BITS, CLASS = 56, 1.03
+MARK_BITS, CLASS = 120, 1.03
+MARK = ["mark", "more"]
 
 
 def words_of(text: str | None) -> list[str]:
@@ -122,22 +123,23 @@ def signatures(texts: list[list[str]], rule: Likeness, known: dict[str, int]) ->
     band = (band ^ np.arange(rule.bands, dtype=np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
     bits = np.zeros((len(texts), -(-n // 64) * 64), dtype=np.uint8)
     bits[:, :n] = (low ^ (low >> np.uint64(7)) ^ (low >> np.uint64(17))) & np.uint64(1)
-    marked = min(n, MARK_BITS)
-    mark = np.minimum(np.log(sizes) / math.log(CLASS), 255).astype(np.uint64)
-    mark |= (bits[:, :marked].astype(np.uint64) << np.arange(8, 8 + marked, dtype=np.uint64)).sum(1, dtype=np.uint64)
+    mark = np.zeros((len(texts), 128), dtype=np.uint8)
+    mark[:, 8 : 8 + min(n, MARK_BITS)] = bits[:, : min(n, MARK_BITS)]
+    mark = np.packbits(mark, axis=1)
+    mark[:, 0] = np.minimum(np.log(sizes) / math.log(CLASS), 255).astype(np.uint8)
     return band.view(np.int64), mark.view(np.int64), np.packbits(bits, axis=1).view(np.int64)
 
 
 def sign(texts: DataFrame, rule: Likeness) -> DataFrame:
-    """texts(id, body) → id, text_key, words, bands, mark, bits of every text long enough to compare.
+    """texts(id, body) → id, text_key, words, bands, mark, more, bits of every text long enough to compare.
 
     text_key is the same for texts of the same words.
     """
 
-    @F.pandas_udf("text_key long, words string, bands array<long>, mark long, bits array<long>")
+    @F.pandas_udf("text_key long, words string, bands array<long>, mark long, more long, bits array<long>")
     def make(body: pd.Series) -> pd.DataFrame:
         known: dict[str, int] = {}
-        rows: list[tuple] = [(None,) * 5] * len(body)
+        rows: list[tuple] = [(None,) * 6] * len(body)
         lists = [words_of(b) for b in body]
         todo = [i for i, w in enumerate(lists) if len(w) >= rule.least_words]
         for low in range(0, len(todo), 500):
@@ -145,8 +147,8 @@ def sign(texts: DataFrame, rule: Likeness) -> DataFrame:
             bands, marks, bits = signatures([lists[i] for i in part], rule, known)
             for k, i in enumerate(part):
                 joined = " ".join(lists[i])
-                rows[i] = (np.uint64(xxhash.xxh3_64_intdigest(joined)).astype(np.int64), joined, bands[k], marks[k], bits[k])
-        return pd.DataFrame(rows, columns=["text_key", "words", "bands", "mark", "bits"])
+                rows[i] = (np.uint64(xxhash.xxh3_64_intdigest(joined)).astype(np.int64), joined, bands[k], *marks[k], bits[k])
+        return pd.DataFrame(rows, columns=["text_key", "words", "bands", *MARK, "bits"])
 
     return texts.select("id", make("body").alias("s")).where("s.text_key is not null").select("id", "s.*")
 
@@ -165,17 +167,21 @@ def narrowed(rows: DataFrame, keys: DataFrame, *on: str, how: str = "left_semi")
     return rows.join(F.broadcast(keys) if keys.count() <= MOST_BROADCAST else keys, [*on], how)
 
 
-def _close(a: str, b: str, rule: Likeness) -> Column:
-    """Whether two marks leave it open that their texts are alike: lengths, then bits."""
+def _close(rule: Likeness) -> Column:
+    """Whether the marks of a and b leave it open that their texts are alike: lengths, then bits.
+
+    The first byte of a mark (the last eight bits of its first word) is the length class.
+    """
     classes = math.ceil(math.log(1 / rule.share) / math.log(CLASS))
-    differ = F.bit_count(F.shiftrightunsigned(F.col(a).bitwiseXOR(F.col(b)), 8))
-    size = lambda c: F.col(c).bitwiseAND(F.lit(255))
-    most = int(min(rule.bands * rule.rows, MARK_BITS) * (1.15 - rule.near) / 2)
-    return (F.abs(size(a) - size(b)) <= classes) & (differ <= most)
+    either = lambda c: F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))
+    differ = F.bit_count(F.shiftrightunsigned(either("mark"), 8)) + F.bit_count(either("more"))
+    size = lambda s: F.col(f"mark_{s}").bitwiseAND(F.lit(255))
+    most = int(min(rule.bands * rule.rows, MARK_BITS) * (1.1 - rule.near) / 2)
+    return (F.abs(size("a") - size("b")) <= classes) & (differ <= most)
 
 
 def _side(rows: DataFrame, s: str, *more: str) -> DataFrame:
-    return rows.select("band", F.col("text_key").alias(s), F.col("mark").alias(f"mark_{s}"), *more)
+    return rows.select("band", F.col("text_key").alias(s), *[F.col(m).alias(f"{m}_{s}") for m in MARK], *more)
 
 
 def _met(a: DataFrame, b: DataFrame, on: list[str], rule: Likeness) -> DataFrame:
@@ -183,7 +189,7 @@ def _met(a: DataFrame, b: DataFrame, on: list[str], rule: Likeness) -> DataFrame
 
     Marks are compared where the pairs arise, so other pairs are never shuffled.
     """
-    return a.join(b, on).where((F.col("a") != F.col("b")) & _close("mark_a", "mark_b", rule)).select("a", "b")
+    return a.join(b, on).where((F.col("a") != F.col("b")) & _close(rule)).select("a", "b")
 
 
 def _across(mine: DataFrame, theirs: DataFrame, rule: Likeness) -> DataFrame:
@@ -247,10 +253,10 @@ RANK = "struct<at: bigint, id: string>"
 TABLES = {
     "seen": ("id string", "id"),
     "keys": (f"key binary, of {RANK}", "key"),
-    "bands": ("band bigint, text_key bigint, mark bigint", "band"),
+    "bands": ("band bigint, text_key bigint, mark bigint, more bigint", "band"),
     "texts": ("text_key bigint, words string, bits array<bigint>", "text_key"),
 }
-PENDING = {"pending": ("band bigint, text_key bigint, mark bigint", "band"), "matched": ("band bigint, text_key bigint, mark bigint, m bigint", "band")}
+PENDING = {"pending": ("band bigint, text_key bigint, mark bigint, more bigint", "band"), "matched": ("band bigint, text_key bigint, mark bigint, more bigint, m bigint", "band")}
 
 
 def text_id(c: Column) -> Column:
@@ -290,18 +296,19 @@ class History:
             for b in done:
                 self.tables[n].remove(b)
 
-    def admit(self, records: DataFrame, signed: DataFrame) -> DataFrame:
-        """records(id, at, keys), signed as `sign` gives it, for ids of the batch → (id, of_id) of repeats.
+    def admit(self, records: DataFrame, bodies: DataFrame) -> DataFrame:
+        """records(id, at, keys), bodies(id, body) → (id, of_id) of repeats.
 
-        Records of ids seen before are left out. keys: array of exact keys, nulls
-        ignored. Of several rows of an id the one with the smallest (at, keys) counts; a
-        null time comes last. Committed by one marker at the end: a batch that failed
-        half-way leaves no trace and can be given again.
+        Records of ids seen before are left out, and bodies of other ids. keys: array of
+        exact keys, nulls ignored. Of several rows of an id the one with the smallest (at,
+        keys) counts; a null time comes last. Of several bodies of an id one counts, always
+        the same. Committed by one marker at the end: a batch that failed half-way leaves
+        no trace and can be given again.
         """
         with scratch(self.spark):
-            return self._admit(records, signed)
+            return self._admit(records, bodies)
 
-    def _admit(self, records: DataFrame, signed: DataFrame) -> DataFrame:
+    def _admit(self, records: DataFrame, bodies: DataFrame) -> DataFrame:
         done = self.markers.batches()
         batch = max(done, default=0) + 1
         put = lambda name, rows, placed=False: self.tables[name].put(rows, batch, placed)
@@ -309,6 +316,8 @@ class History:
         fresh = records.where("id is not null").groupBy("id").agg(F.min(F.struct(F.coalesce("at", F.lit(2**62)).alias("at"), "keys")).alias("m")).select("id", "m.at", "m.keys")
         if past:
             fresh = fresh.join(past["seen"], "id", "left_anti")
+        fresh = written(fresh, "ids")
+        signed = written(sign(narrowed(bodies, fresh, "id"), self.rule), "signed")
         text = signed.select("id", "text_key").groupBy("id").agg(F.min("text_key").alias("text_key"))
         fresh = fresh.join(text, "id", "left").select(
             "id", "text_key", F.struct("at", "id").alias("rank"), F.array_compact(F.array_union(F.coalesce("keys", F.array().cast("array<binary>")), F.array(text_id(F.col("text_key"))))).alias("keys")
@@ -318,7 +327,7 @@ class History:
         # one record stands for each text, so copies are not banded again and again
         stand = written(fresh.where("text_key is not null").groupBy("text_key").agg(F.min("id").alias("id")), "stand")
         texts = narrowed(signed, stand, "id", "text_key")
-        put("pending", texts.select(F.explode("bands").alias("band"), "text_key", "mark"))
+        put("pending", texts.select(F.explode("bands").alias("band"), "text_key", *MARK))
         new = self.tables["pending"].rows([batch])
 
         gone = None
@@ -395,7 +404,7 @@ class History:
         some = sized.where((F.col("n") > 1) & (F.col("n") <= self.rule.bucket))
         pairs = _met(_side(some, "a"), _side(new, "b"), ["band"], self.rule).where("a < b").distinct()
         near = written(both(_verified(written(pairs, "pairs"), texts, texts, self.rule)), "near")
-        crowded = written(sized.where(F.col("n") > self.rule.bucket).select("band", "text_key", "mark"), "crowded")
+        crowded = written(sized.where(F.col("n") > self.rule.bucket).select("band", "text_key", *MARK), "crowded")
         if crowded.isEmpty():
             return resolve(near)
         holders = written(fresh.join(held.select("id").distinct(), "id", "left_semi").where("text_key is not null").select("text_key", "rank"), "holders")
@@ -410,7 +419,7 @@ class History:
                 taken = rest.drop("rank").join(accepted, "text_key")
             order = Window.partitionBy("band").orderBy("rank", "text_key")
             leaders = taken.withColumn("k", F.row_number().over(order)).where(F.col("k") <= BLOCKS[min(turn, len(BLOCKS) - 1)])
-            leaders = written(leaders.select("band", "text_key", "mark"), "leaders")
+            leaders = written(leaders.select("band", "text_key", *MARK), "leaders")
             if leaders.isEmpty():
                 return resolve(near) if repeats is None else repeats
             close = _across(rest, leaders, self.rule).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -52,7 +52,7 @@ def content_hash(c: Column) -> Column:
     return F.when(bare != EMPTY_HASH, bare)
 
 
-def p4_found(spark: SparkSession, d: str, steps: int = 2) -> DataFrame:
+def p4_found(spark: SparkSession, d: str, steps: int = 4) -> DataFrame:
     """Events that repeat an accepted one, given to the store in `steps` batches of rising time."""
     with scratch(spark):
         return _repeats(spark, d, steps)
@@ -65,7 +65,7 @@ def _repeats(spark: SparkSession, d: str, steps: int) -> DataFrame:
     events = pointers.groupBy("id").agg(F.min(F.struct(first.alias("at"), "dedup_key", "content_hash")).alias("m")).select("id", F.col("m.at.created_at_ms").alias("at"), keys.alias("keys"))
     events = written(events, "events")
     bodies = table(spark, d, "raw_events").where("content_kind is null or content_kind <> 'derivatives_snapshot'").select(record_key(F.col("event_id")).alias("id"), "body")
-    signed = written(history.sign(bodies.where("id is not null and body is not null"), history.Likeness()), "signed")
+    bodies = bodies.where("id is not null and body is not null")
     low, high = events.agg(F.min("at"), F.max("at")).first()
     # about one bucket for ten thousand events, so that a bucket's rows fit one task at any size
     store, found = history.History(spark, fresh_dir(spark, "history"), buckets=max(16, -(-events.count() // 10_000))), []
@@ -75,7 +75,7 @@ def _repeats(spark: SparkSession, d: str, steps: int) -> DataFrame:
         else:
             step = F.coalesce(F.least(F.floor((F.col("at") - F.lit(low)) / F.lit((high - low) // steps + 1)), F.lit(steps - 1)), F.lit(steps - 1))
             mine = events.where(step == k)
-        found.append(store.admit(mine, signed))
+        found.append(store.admit(mine, bodies))
     pairs = reduce(DataFrame.unionByName, found)
     return pairs.select(F.least("id", "of_id").alias("event_id_a"), F.greatest("id", "of_id").alias("event_id_b")).distinct()
 
