@@ -14,7 +14,8 @@ def lines(*files):
 
 
 def changes(spark, rows):
-    got = drift.changes(drift.parse(spark.createDataFrame(rows, SCHEMA), IDS)).collect()
+    target = {"id": "bigint", "x": "string", "o.k": "bigint", "n": "bigint"}
+    got = drift.changes(drift.described(drift.ingest(drift.parse(spark.createDataFrame(rows, SCHEMA), IDS), target), target)).collect()
     assert len(set(got)) == len(got)
     return {tuple(r)[1:] for r in got}
 
@@ -43,14 +44,19 @@ def test_broken_lines_nulls_and_odd_json(spark):
     assert changes(spark, []) == set()
 
 
-def test_ingest_rescues_and_promotion_replays(spark):
-    rows = lines([{"id": 1, "n": 7.0, "w": "2.5", "tags": ["a"], "m": {"k": "x"}, "other": None}, {"id": 2, "n": "no", "num": 9, "tags": "b", "extra": {"deep": [1]}}])
-    target = {"id": "string", "n": "bigint", "w": "double", "tags": "array<string>", "m.k": "string"}
+def test_ingest_keeps_the_whole_record_and_promotion_replays(spark):
+    rows = lines([{"id": 1, "n": 7.0, "w": "2.5", "tags": ["a"], "m": {"k": "x"}, "other": None}, {"id": 2, "n": "no", "num": 9, "tags": "b", "extra": {"deep": [1]}}, '{"id": 3, "w": 1.50, "big": 12345678901234567890123, "n": null, "e": {}}'])
+    target = {"id": "bigint", "n": "bigint", "w": "double", "tags": "array<string>", "m.k": "string"}
     table = drift.ingest(drift.parse(spark.createDataFrame(rows, SCHEMA), IDS), target)
-    one, two = table.orderBy("line_number").collect()
-    assert (one.id, one.n, one.w, one.tags, one.m_k, one[drift.RESCUED]) == ("1", 7, 2.5, ["a"], "x", None)
+    one, two, three = table.orderBy("line_number").collect()
+    assert (one.id, one.n, one.w, one.tags, one.m_k, one[drift.OBJECTS]) == (1, None, None, ["a"], "x", '{"m":"{\\"k\\":\\"x\\"}"}')
+    assert json.loads(one[drift.RESCUED]) == {"n": "7.0", "w": '"2.5"', "other": "null"}
     assert two.n is None and json.loads(two[drift.RESCUED]) == {"n": '"no"', "num": "9", "tags": '"b"', "extra.deep": "[1]"}
-    two = drift.promote(drift.promote(table, "n", "bigint", ["num"]), "extra.deep", "array<int>", ["extra.deep"]).orderBy("line_number").collect()[1]
+    assert json.loads(three[drift.RESCUED]) == {"w": "1.50", "big": "12345678901234567890123", "n": "null", "e": "{}"}
+    for field, names in (("n", ["n", "num"]), ("w", ["w"])):
+        table = drift.promote(table, field, target[field], names)
+    one, two, three = drift.promote(table, "extra.deep", "array<int>", ["extra.deep"]).orderBy("line_number").collect()
+    assert (one.n, one.w, three.w) == (7, 2.5, 1.5) and json.loads(one[drift.RESCUED]) == {"other": "null"}
     assert two.n == 9 and two.extra_deep == [1] and set(json.loads(two[drift.RESCUED])) == {"n", "tags"}
 
 

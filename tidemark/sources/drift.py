@@ -1,10 +1,11 @@
 """JSON records whose shape drifts from file to file.
 
-`parse` reads every line into its dotted fields.  `ingest` enforces a target schema:
-what fits becomes a typed column, everything else (unknown names, values that cannot be
-cast) stays as JSON in the rescue column.  `promote` approves further names for a
-column and replays rescued values into it.  `changes` reports what each file changed
-against its stream's previous file.
+`parse` reads every line into its dotted fields, values as the text that came.
+`ingest` enforces a target schema: what is of the target's type and can be written back
+unchanged becomes a typed column, everything else (unknown names, other types, nulls)
+stays as it came in the rescue column, so a row holds its whole record.  `changes`
+reads those rows and reports what each file changed against its stream's previous file.
+`promote` approves further names for a column and replays rescued values into it.
 """
 
 from __future__ import annotations
@@ -17,10 +18,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.operators.ordered import neighbours
 from tidemark.session import written
 
-RESCUED = "_rescued"
-PARSED = "ok boolean, record_id string, names array<string>, types array<string>, values array<string>"
-#: JSON type of each Python type that json.loads gives; null has none.
-TYPES = {str: "string", int: "integer", float: "number", bool: "boolean", list: "array", dict: "object"}
+RESCUED, OBJECTS = "_rescued", "_objects"
+PARSED = "ok boolean, record_id string, names array<string>, raws array<string>, objects map<string,string>"
+RECORD = ["stream_id", "record_kind", "object_key", "written_at_ms", "line_number", "record_id"]
+
+
+class Number(str):
+    """A number as the text that came."""
 
 
 def _refuse(name: str):
@@ -31,26 +35,46 @@ def _clean(text: str) -> str:
     return text.encode("utf-8", "replace").decode()
 
 
+def _text(value, ordered: bool = False) -> str:
+    """A parsed value as JSON again, numbers unchanged; members of objects by name if ordered."""
+    if isinstance(value, Number):
+        return str(value)
+    if isinstance(value, str):
+        return json.dumps(_clean(value), ensure_ascii=False)
+    if isinstance(value, list):
+        return "[" + ",".join(_text(v, ordered) for v in value) + "]"
+    if isinstance(value, dict):
+        items = sorted(value.items()) if ordered else value.items()
+        return "{" + ",".join(_text(str(k)) + ":" + _text(v, ordered) for k, v in items) + "}"
+    return json.dumps(value)
+
+
 def flatten(payload: str | None, id_field: str | None) -> tuple:
-    """One line as PARSED; ok is false if it isn't one JSON object."""
+    """One line as PARSED; ok is false if it isn't one JSON object.
+
+    Objects with members are fields of their own, under `objects`; their members follow
+    as fields with dotted names. A line nested too deep to parse isn't ok.
+    """
     try:
-        record = json.loads(payload, parse_constant=_refuse)
+        record = json.loads(payload, parse_constant=_refuse, parse_int=Number, parse_float=Number)
     except (ValueError, TypeError, RecursionError):
         record = None
     if not isinstance(record, dict):
-        return False, None, [], [], []
-    names, types, values, todo = [], [], [], [("", record)]
+        return False, None, [], [], {}
+    held: dict[str, str] = {}
+    objects: dict[str, str] = {}
+    todo = [("", record)]
     while todo:
         prefix, at = todo.pop()
         for key, value in at.items():
             name = prefix + _clean(key)
-            names.append(name)
-            types.append(TYPES.get(type(value)))
-            values.append(json.dumps(value, sort_keys=True, separators=(",", ":")))
-            if isinstance(value, dict):
+            if isinstance(value, dict) and value:
+                objects[name] = _text(value, ordered=True)
                 todo.append((name + ".", value))
+            else:
+                held[name] = _text(value)
     key = record.get(id_field) if id_field else None
-    return True, None if key is None else _clean(key) if isinstance(key, str) else json.dumps(key), names, types, values
+    return True, None if key is None else _clean(key) if isinstance(key, str) else _text(key), list(held), list(held.values()), objects
 
 
 def parse(lines: DataFrame, id_fields: dict[str, str]) -> DataFrame:
@@ -63,59 +87,128 @@ def parse(lines: DataFrame, id_fields: dict[str, str]) -> DataFrame:
     @F.pandas_udf(PARSED)
     def read(payload: pd.Series, kind: pd.Series) -> pd.DataFrame:
         rows = [flatten(p, id_fields.get(k)) for p, k in zip(payload, kind)]
-        return pd.DataFrame(rows, columns=["ok", "record_id", "names", "types", "values"])
+        return pd.DataFrame(rows, columns=["ok", "record_id", "names", "raws", "objects"])
 
     cols = ["stream_id", "record_kind", "object_key", "written_at_ms", "line_number", "payload"]
-    return lines.select(*cols).distinct().withColumn("p", read("payload", "record_kind")).select(*cols, "p.*")
+    return lines.select(*cols).distinct().withColumn("p", read("payload", "record_kind")).select(*cols[:-1], "p.*")
 
 
-def fields(parsed: DataFrame) -> DataFrame:
-    """One row per record and field: name, JSON type (null for null) and canonical JSON value."""
-    return parsed.where("ok").select(
-        "stream_id", "object_key", "record_id", "line_number", F.explode(F.arrays_zip("names", "types", "values")).alias("f")
-    ).select("stream_id", "object_key", "record_id", "line_number", F.col("f.names").alias("name"), F.col("f.types").alias("type"), F.col("f.values").alias("value"))
+def json_type(raw: Column) -> Column:
+    """string, integer, number (with decimal point or exponent), boolean, array or object; null for null."""
+    first = F.substring(raw, 1, 1)
+    return (
+        F.when(first == '"', "string").when(first == "[", "array").when(first == "{", "object").when(first.isin("t", "f"), "boolean")
+        .when(first != "n", F.when(raw.rlike("[.eE]"), "number").otherwise("integer"))
+    )
+
 
+def _typed(raw: Column, kind: str) -> Column:
+    """A field's JSON text as the wanted type; null if it can't be."""
+    scalar = F.when(~F.substring(raw, 1, 1).isin("[", "{"), F.get_json_object(F.concat(F.lit('{"v":'), raw, F.lit("}")), "$.v"))
+    if kind == "string":
+        return scalar
+    if kind.startswith("array"):
+        return F.when(F.substring(raw, 1, 1) == "[", F.from_json(raw, kind, {"mode": "PERMISSIVE"}))
+    if kind in ("bigint", "int"):
+        number = scalar.try_cast("decimal(38,9)")
+        return F.when(number == F.floor(number), number.try_cast(kind))
+    return scalar.try_cast(kind)
+
+
+def _same(raw: Column, kind: str) -> Column:
+    """A field's JSON text as the target's type if it is of that type and can be written back; else null."""
+    value = _typed(raw, kind)
+    if kind == "string":
+        return F.when(json_type(raw) == "string", value)
+    if kind.startswith("array"):
+        return F.when(F.to_json(value) == raw, value)
+    return F.when(value.cast("string") == raw, value)
+
+
+def column_name(field: str) -> str:
+    return field.replace(".", "_")
+
+
+def ingest(parsed: DataFrame, target: dict[str, str]) -> DataFrame:
+    """One row per parsed record: the target's fields as typed columns, the rest as JSON in `_rescued`.
 
-def changes(parsed: DataFrame, bucket_ms: int = 86_400_000) -> DataFrame:
+    `_rescued` is a map from field to the JSON text that came, written as JSON; null if
+    nothing was left over. A null value is rescued as `null`, under known names too, so
+    that the field is known to have been there; fields stand in order of their names.
+    `_objects` holds the objects whose members are fields, by name. Unparsable lines
+    stay, with ok = false and all of these null, as their file counts as one of its stream.
+    """
+    held = F.map_from_arrays("names", "raws")
+    rows = parsed.select(*RECORD, "ok", F.when(F.col("ok"), held).alias("_f"), F.when(F.col("ok") & (F.size("objects") > 0), F.to_json("objects")).alias(OBJECTS))
+    rows = rows.withColumns({column_name(k): _same(F.col("_f")[k], t) for k, t in target.items()})
+    drop = F.array_compact(F.array(*[F.when(F.col(column_name(k)).isNotNull(), F.lit(k)) for k in target]))
+    rest = F.map_filter("_f", lambda k, v: ~F.array_contains(drop, k))
+    return rows.withColumn(RESCUED, F.when(F.size(rest) > 0, F.to_json(F.map_from_entries(F.array_sort(F.map_entries(rest)))))).drop("_f")
+
+
+def fields(table: DataFrame, target: dict[str, str]) -> Column:
+    """All fields of an ingested row: name, JSON type (null for null) and value, written in one way."""
+    names = {"bigint": "integer", "int": "integer", "double": "number"}
+    what = "array<struct<name string, type string, value string>>"
+    typed = []
+    for k, t in target.items():
+        c = F.col(column_name(k))
+        value = F.to_json(c) if t.startswith("array") else F.to_json(F.array(c)) if t == "string" else c.cast("string")
+        kind = "array" if t.startswith("array") else names.get(t, t)
+        typed.append(F.when(c.isNotNull(), F.struct(F.lit(k).alias("name"), F.lit(kind).alias("type"), (F.substr(value, F.lit(2), F.length(value) - 2) if t == "string" else value).alias("value"))))
+    text = lambda x: F.when(json_type(x) == "number", x.cast("double").cast("string")).when(json_type(x) == "string", F.regexp_replace(F.to_json(F.array(_typed(x, "string"))), r"^\[|\]$", "")).otherwise(x)
+    entries = lambda c: F.coalesce(F.map_entries(F.from_json(c, "map<string,string>")), F.array().cast("array<struct<key string, value string>>"))
+    rest = F.transform(F.concat(entries(RESCUED), entries(OBJECTS)), lambda e: F.struct(e["key"].alias("name"), json_type(e["value"]).alias("type"), text(e["value"]).alias("value")))
+    return F.concat(F.array_compact(F.array(*typed)).cast(what), rest.cast(what))
+
+
+def described(table: DataFrame, target: dict[str, str]) -> DataFrame:
+    """Ingested rows of one kind with all their fields in one column, so that kinds can be put together."""
+    return table.select(*RECORD, F.when(F.col("ok"), fields(table, target)).alias("f"))
+
+
+def changes(rows: DataFrame, bucket_ms: int = 86_400_000) -> DataFrame:
     """(stream_id, object_key, change_kind, field_name, old_name) of each file against the one before.
 
-    A field is in a file if any record has it, even as null. `renamed`: a gone and a new
-    name whose values agree in every record of both files that has both, and in at least
-    one; if several names would do, the one with most agreeing records, then the first
-    by name. Otherwise `added` or `removed`; `type_changed` compares the sets of JSON
-    types of non-null values. A stream's first file changes nothing.
+    rows: ingested rows as `described` gives them. A field is in a file if any record has it, even as null.
+    `renamed`: a gone and a new name whose values agree in every record of both files
+    that has both, and in at least one; if several names would do, the one with most
+    agreeing records, then the first by name. Otherwise `added` or `removed`;
+    `type_changed` compares the sets of JSON types of non-null values. A stream's first
+    file changes nothing.
     """
-    files = parsed.groupBy("stream_id", "object_key").agg(F.min("written_at_ms").alias("at"))
+    files = rows.groupBy("stream_id", "object_key").agg(F.min("written_at_ms").alias("at"))
     pairs = (
         neighbours(files, ["stream_id"], ["at", "object_key"], [], bucket_ms)
         .where("previous is not null")
         .select("stream_id", F.col("object_key").alias("file"), F.col("previous.object_key").alias("before"))
     )
     pairs = written(pairs, "pairs")
-    flat = fields(parsed)
-    inventory = flat.groupBy("stream_id", "object_key", "name").agg(F.array_sort(F.collect_set("type")).alias("types"))
+    kinds = rows.select("stream_id", "object_key", F.explode("f").alias("f")).select("stream_id", "object_key", "f.name", "f.type").distinct()
+    # at most one entry for each JSON type
+    inventory = written(kinds.groupBy("stream_id", "object_key", "name").agg(F.array_sort(F.collect_set("type")).alias("types")), "inventory")
     new = inventory.withColumnRenamed("object_key", "file").join(pairs.select("stream_id", "file"), ["stream_id", "file"])
     old = inventory.withColumnRenamed("object_key", "before").join(pairs, ["stream_id", "before"]).select("stream_id", "file", "name", F.col("types").alias("old_types"))
-    both = old.join(new, ["stream_id", "file", "name"], "full")
-    state = both.select(
+    state = old.join(new, ["stream_id", "file", "name"], "full").select(
         "stream_id", "file", "name",
         F.when(F.col("types").isNull(), "removed").when(F.col("old_types").isNull(), "added")
         .when((F.size("types") > 0) & (F.size("old_types") > 0) & (F.col("types") != F.col("old_types")), "type_changed").alias("kind"),
     ).where("kind is not null")
     state = written(state, "state")
-    last = flat.where("record_id is not null and type is not null").groupBy("stream_id", "object_key", "record_id", "name").agg(F.max_by("value", "line_number").alias("value"))
-    gone = (
-        last.withColumnRenamed("object_key", "before").join(pairs, ["stream_id", "before"])
-        .join(state.where("kind = 'removed'"), ["stream_id", "file", "name"], "left_semi")
-        .select("stream_id", "file", "record_id", F.col("name").alias("old_name"), F.col("value").alias("old_value"))
-    )
-    come = (
-        last.withColumnRenamed("object_key", "file")
-        .join(state.where("kind = 'added'"), ["stream_id", "file", "name"], "left_semi")
-        .select("stream_id", "file", "record_id", F.col("name").alias("new_name"), F.col("value").alias("new_value"))
-    )
+    # names that came or went, as many as a file's changed fields; values of others are never spread out
+    moved = state.groupBy("stream_id", "file").agg(*[F.collect_list(F.when(F.col("kind") == k, F.col("name"))).alias(k) for k in ("removed", "added")]).where("size(removed) > 0 and size(added) > 0")
+    moved = written(moved.join(pairs, ["stream_id", "file"]), "moved")
+
+    def values(side: str, kind: str, name: str) -> DataFrame:
+        """The last non-null value of each record and name that came (or went)."""
+        names = moved.select("stream_id", F.col(side).alias("object_key"), F.col("file").alias("of_file"), kind)
+        some = F.filter("f", lambda x: x["type"].isNotNull() & F.array_contains(kind, x["name"]))
+        held = rows.where("record_id is not null").join(names, ["stream_id", "object_key"]).select("stream_id", F.col("of_file").alias("file"), "record_id", "line_number", F.explode(some).alias("f"))
+        return held.groupBy("stream_id", "file", "record_id", F.col("f.name").alias(f"{name}_name")).agg(F.max_by("f.value", "line_number").alias(f"{name}_value"))
+
     same = F.col("old_value") == F.col("new_value")
-    match = gone.join(come, ["stream_id", "file", "record_id"]).groupBy("stream_id", "file", "old_name", "new_name").agg(F.count(F.when(same, 1)).alias("n"), F.count(F.when(~same, 1)).alias("bad"))
+    both = values("before", "removed", "old").join(values("file", "added", "new"), ["stream_id", "file", "record_id"])
+    match = both.groupBy("stream_id", "file", "old_name", "new_name").agg(F.count(F.when(same, 1)).alias("n"), F.count(F.when(~same, 1)).alias("bad"))
     rank = lambda side: F.row_number().over(Window.partitionBy("stream_id", "file", side).orderBy(F.desc("n"), "old_name", "new_name"))
     renamed = match.where("n > 0 and bad = 0").withColumn("i", rank("old_name")).withColumn("j", rank("new_name")).where("i = 1 and j = 1").select("stream_id", "file", "old_name", "new_name")
     renamed = written(renamed, "renamed")
@@ -127,45 +220,9 @@ def changes(parsed: DataFrame, bucket_ms: int = 86_400_000) -> DataFrame:
     return rest.unionByName(named).withColumnRenamed("file", "object_key")
 
 
-def _typed(raw: Column, kind: str) -> Column:
-    """A field's JSON text as the wanted type; null if it can't be."""
-    scalar = F.when(~F.substring(raw, 1, 1).isin("[", "{"), F.get_json_object(F.concat(F.lit('{"v":'), raw, F.lit("}")), "$.v"))
-    if kind == "string":
-        return scalar
-    if kind.startswith("array"):
-        return F.when(F.substring(raw, 1, 1) == "[", F.from_json(raw, kind, {"mode": "PERMISSIVE"}))
-    if kind in ("bigint", "int"):
-        number = scalar.try_cast("decimal(38,9)")
-        return F.when(number == F.floor(number), number.try_cast(kind))
-    return scalar.try_cast(kind)
-
-
-def column_name(field: str) -> str:
-    return field.replace(".", "_")
-
-
-def ingest(parsed: DataFrame, target: dict[str, str]) -> DataFrame:
-    """One row per parsed record: the target's fields as typed columns, the rest as JSON in `_rescued`.
-
-    `_rescued` is a map from field to JSON text, written as JSON; null if nothing was
-    left over. Objects are rescued field by field; null values are not rescued.
-    """
-    leaf = lambda x: (x["types"] != "object") | (x["values"] == "{}")
-    held = F.map_from_entries(F.transform(F.filter(F.arrays_zip("names", "types", "values"), lambda x: x["types"].isNotNull() & leaf(x)), lambda x: F.struct(x["names"], x["values"])))
-    rows = parsed.where("ok").select("stream_id", "record_kind", "object_key", "written_at_ms", "line_number", "record_id", held.alias("_f"))
-    rows = rows.withColumns({column_name(k): _typed(F.col("_f")[k], t) for k, t in target.items()})
-    return _with_rest(rows, "_f", target)
-
-
-def _with_rest(rows: DataFrame, held: str, done: dict[str, str]) -> DataFrame:
-    drop = F.array(*[F.when(F.col(column_name(k)).isNotNull(), F.lit(k)) for k in done])
-    rest = F.map_filter(F.col(held), lambda k, v: ~F.coalesce(F.array_contains(F.array_compact(drop), k), F.lit(False)))
-    return rows.withColumn(RESCUED, F.when(F.size(rest) > 0, F.to_json(rest))).drop("_f")
-
-
 def promote(table: DataFrame, field: str, kind: str, names: list[str]) -> DataFrame:
-    """Approves further names of a field: where its column is null, the first of them with
-    a rescued value that can be cast fills it and leaves the rescue column.
+    """Approves names of a field, its own or others: where its column is null, the first of
+    them with a rescued value that can be cast fills it and leaves the rescue column.
 
     The column is made if the table has none, so new fields are promoted the same way.
     """
@@ -186,27 +243,24 @@ def promote(table: DataFrame, field: str, kind: str, names: list[str]) -> DataFr
     )
 
 
-def aliases(renames: DataFrame, target: dict[str, str], most: int = 10_000) -> dict[str, list[str]]:
-    """Other names of each target field, from the `renamed` changes of one record kind.
+def aliases(renames: DataFrame, target: dict[str, str]) -> dict[str, list[str]]:
+    """Other names of each target field, by name, from the `renamed` changes of one record kind.
 
-    Follows chains of renames. Reads the distinct pairs of names, which are as many as
-    field names, not files; more than `most` is an error, not a cut.
+    Follows chains of renames, one join per link, until no new name is reached. What is
+    fetched are the names approved for the columns of one table, a part of its schema.
     """
-    pairs = renames.where("change_kind = 'renamed'").select("old_name", "field_name").distinct().limit(most + 1).collect()
-    if len(pairs) > most:
-        raise ValueError(f"more than {most} distinct renames")
-    near: dict[str, set[str]] = {}
-    for a, b in pairs:
-        near.setdefault(a, set()).add(b)
-        near.setdefault(b, set()).add(a)
-    out = {}
-    for name in target:
-        seen, todo = {name}, [name]
-        while todo:
-            for other in sorted(near.get(todo.pop(), ())):
-                if other not in seen and other not in target:
-                    seen.add(other)
-                    todo.append(other)
-        if len(seen) > 1:
-            out[name] = sorted(seen - {name})
+    spark = renames.sparkSession
+    pairs = renames.where("change_kind = 'renamed'").select(F.col("old_name").alias("name"), F.col("field_name").alias("other")).distinct()
+    pairs = written(pairs.unionByName(pairs.select(F.col("other").alias("name"), F.col("name").alias("other"))).distinct(), "renames")
+    pairs = pairs.where(~F.col("other").isin(list(target)))
+    reached = step = spark.createDataFrame([(k, k) for k in target], "field string, name string")
+    while True:
+        step = step.join(pairs, "name").select("field", F.col("other").alias("name")).distinct().join(reached, ["field", "name"], "left_anti")
+        step = written(step, "names")
+        if step.isEmpty():
+            break
+        reached = reached.unionByName(step)
+    out: dict[str, list[str]] = {}
+    for r in reached.where("field <> name").orderBy("field", "name").toLocalIterator():
+        out.setdefault(r.field, []).append(r.name)
     return out
