@@ -68,3 +68,8 @@ def epoch_ms(c: Column) -> Column:
         .when(size < F.lit(10**17), down(1000))
         .otherwise(down(1_000_000))
     )
+
+
+def published_ms(published: Column, fetched: Column) -> Column:
+    """A publication time in any unit as milliseconds; the fetch time where it is null or 0."""
+    return F.coalesce(F.when(published != 0, epoch_ms(published)), fetched)

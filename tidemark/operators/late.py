@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.functions.text import epoch_ms, floor_to, record_key
+from tidemark.functions.text import floor_to, published_ms, record_key
 from tidemark.session import hadoop_fs, scratch, written
 from tidemark.sources.buckets import Buckets, Markers
 
@@ -162,11 +162,10 @@ class PartialStore:
 
 def pointer_records(pointers: DataFrame) -> DataFrame:
     """Deliveries as records: publication time in any unit, or fetch time where it is null or 0."""
-    published = F.when(F.col("published_at_ms") != 0, epoch_ms(F.col("published_at_ms")))
     return pointers.select(
         F.lit("pointer").alias("record_kind"),
         record_key(F.col("event_id")).alias("record_id"),
-        F.coalesce(published, F.col("fetched_at_ms")).alias("event_ms"),
+        published_ms(F.col("published_at_ms"), F.col("fetched_at_ms")).alias("event_ms"),
         F.col("fetched_at_ms").alias("arrival_ms"),
         F.col("batch_id").cast("long").alias("batch_id"),
     )

@@ -67,9 +67,14 @@ def as_of(events: DataFrame, windows: DataFrame, width: int, lookback: int = 6 *
 
 
 def first_slices(slices: DataFrame, order: str) -> DataFrame:
-    """One slice per window, symbol and venue: the first in `order`."""
+    """One slice per window, symbol and venue: the first in `order`, then by the other columns.
+
+    NaN stands for no reading and comes out as null, as does a null; both sort first.
+    """
     rest = [c for c in slices.columns if c not in ("window_start_ms", "symbol", "venue", order)]
-    m = slices.groupBy("window_start_ms", "symbol", "venue").agg(F.min(F.struct(order, *rest)).alias("m"))
+    doubles = {f.name for f in slices.schema if f.dataType.typeName() in ("double", "float")}
+    held = [F.nanvl(c, F.lit(None)).alias(c) if c in doubles else F.col(c) for c in rest]
+    m = slices.groupBy("window_start_ms", "symbol", "venue").agg(F.min(F.struct(order, *held)).alias("m"))
     return m.select("window_start_ms", "symbol", "venue", f"m.{order}", *[f"m.{c}" for c in rest])
 
 

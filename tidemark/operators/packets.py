@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.text import any_of, ascii_lower, blank, squeeze
+from tidemark.functions.text import any_of, ascii_lower, blank, published_ms, squeeze
 from tidemark.operators.rules import excerpts, text
 
 MINUTE = 60_000
@@ -13,8 +13,11 @@ WIDTHS = {"minutes": 30 * MINUTE, "hours": 360 * MINUTE, "day": 1440 * MINUTE, "
 
 
 def times(hinted: DataFrame, structured: str = "observed_at_ms") -> DataFrame:
-    """When a decision could use the event, from when to when it is relevant, and where it came from."""
-    start = F.coalesce("published_at_ms", "fetched_at_ms")
+    """When a decision could use the event, from when to when it is relevant, and where it came from.
+
+    Publication times count in whatever unit they were written; null or 0 is none.
+    """
+    start = published_ms(F.col("published_at_ms"), F.col("fetched_at_ms"))
     width = F.coalesce(*[F.when(F.col("decay_hint") == k, F.lit(w).cast("long")) for k, w in WIDTHS.items()])
     unknown = lambda c: F.coalesce(F.col(c), F.lit("unknown"))
     summary = F.concat(
@@ -23,7 +26,7 @@ def times(hinted: DataFrame, structured: str = "observed_at_ms") -> DataFrame:
         F.lit(" source_quality="), unknown("source_quality"), F.lit(" relevance_scope="), unknown("source_relevance_scope"),
     )
     return hinted.withColumns({
-        "decision_available_at_ms": F.greatest("published_at_ms", "fetched_at_ms", "observed_at_ms", structured),
+        "decision_available_at_ms": F.greatest(start, "fetched_at_ms", "observed_at_ms", structured),
         "relevant_from_ms": start, "relevant_to_ms": start + width, "source_quality_summary": summary,
     })
 

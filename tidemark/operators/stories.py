@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.ids import short_id, utc
-from tidemark.functions.text import ascii_lower, epoch_ms
+from tidemark.functions.text import ascii_lower, epoch_ms, published_ms
 from tidemark.operators.rules import text
 
 # Words that a title signature leaves out, and the flags in their order.
@@ -15,7 +15,7 @@ FLAGS = ["time_mismatch", "symbol_ambiguity", "source_claim_conflict", "rumor_vs
 
 def story_key(assessed: DataFrame) -> Column:
     """Day, type, symbols and, where there are no symbols, the first words of the title."""
-    day = utc(F.coalesce(epoch_ms(F.col("published_at_ms")), F.col("fetched_at_ms")), "yyyy-MM-dd")
+    day = utc(published_ms(F.col("published_at_ms"), F.col("fetched_at_ms")), "yyyy-MM-dd")
     symbols = F.when(F.size("symbols") > 0, F.array_join("symbols", ",")).otherwise("general")
     words = F.filter(F.split(ascii_lower(text("title")), "[^a-z0-9]+"), lambda w: (F.octet_length(w) >= 4) & ~w.isin(STOPWORDS))
     title = F.when(F.size(words) > 0, F.array_join(F.slice(words, 1, 8), "_")).otherwise("untitled")
@@ -28,21 +28,40 @@ def flag_set(flags: Column) -> Column:
     return F.filter(F.array(*map(F.lit, FLAGS)), lambda f: F.array_contains(flags, f))
 
 
+def _members(assessed: DataFrame) -> DataFrame:
+    """Each event once per story: of several rows of an id the first observed, then the first by its other columns."""
+    cols = ["source_id", "trust_tier", "event_type", "flags", "novelty_score", "published_at_ms"]
+    held = [c for c in cols if c in assessed.columns]
+    rows = assessed.withColumn("story_hint_key", story_key(assessed))
+    first = rows.groupBy("story_hint_key", "event_id").agg(F.min(F.struct(F.col("observed_at_ms").isNull().alias("none"), "observed_at_ms", *held)).alias("m"))
+    return first.select("story_hint_key", "event_id", "m.observed_at_ms", *[f"m.{c}" for c in held])
+
+
 def merge(assessed: DataFrame) -> DataFrame:
     """One row per story, over distinct events; sets come out joined and sorted.
 
-    What is gathered per story is bounded by the number of types, flags and tiers;
-    sources are counted, never collected, so a story may hold any share of all events.
+    Events are counted by story, source, tier and type first, so a story that holds any
+    share of all events is spread over its sources; what is then gathered per story is
+    bounded by the number of types, flags and tiers.
     """
-    rows = assessed.withColumn("story_hint_key", story_key(assessed)).dropDuplicates(["story_hint_key", "event_id"])
-    tiers = rows.groupBy("story_hint_key", "trust_tier").agg(F.count("*").alias("n")).groupBy("story_hint_key").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("trust_tier", "n"))), lambda x: F.concat(F.coalesce(x["trust_tier"], F.lit("unknown")), F.lit("="), x["n"].cast("string"))), ",").alias("trust_mix")
+    rows = _members(assessed)
+    published = F.when(F.col("published_at_ms") != 0, epoch_ms(F.col("published_at_ms")))
+    flagged = lambda f: F.max(F.array_contains("flags", f)).alias(f)
+    parts = rows.groupBy("story_hint_key", "source_id", "trust_tier", "event_type").agg(
+        F.count("*").alias("n"), *map(flagged, FLAGS), F.max("observed_at_ms").alias("last"), F.min(published).alias("first"), F.max("novelty_score").alias("novelty")
+    )
+    own = Window.partitionBy("story_hint_key", "source_id").orderBy(F.lit(1))
+    parts = parts.withColumn("new", (F.row_number().over(own) == 1).cast("int"))
+    tiers = parts.groupBy("story_hint_key", "trust_tier").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("source_id").isNotNull(), F.col("new")).otherwise(0)).alias("sources"), F.collect_set("event_type").alias("types"),
+        *[F.max(f).alias(f) for f in FLAGS], F.max("last").alias("last"), F.min("first").alias("first"), F.max("novelty").alias("novelty"),
+    )
+    mix = F.transform(F.array_sort(F.collect_list(F.struct("trust_tier", "n"))), lambda x: F.concat(F.coalesce(x["trust_tier"], F.lit("unknown")), F.lit("="), x["n"].cast("string")))
+    all_ = tiers.groupBy("story_hint_key").agg(
+        F.sum("n").alias("event_count"), F.sum("sources").alias("source_count"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("types")))).alias("types"),
+        F.array_compact(F.array(*[F.when(F.max(f), f) for f in FLAGS])).alias("flags"), F.max("last").alias("last_updated_ms"), F.min("first").alias("first_published_ms"),
+        F.max("novelty").alias("novelty_score"), F.array_join(mix, ",").alias("trust_mix"),
     )
-    all_ = rows.groupBy("story_hint_key").agg(
-        F.count("*").alias("event_count"), F.count_distinct("source_id").alias("source_count"), F.array_sort(F.collect_set("event_type")).alias("types"),
-        F.array_compact(F.array(*[F.when(F.max(F.array_contains("flags", f)), f) for f in FLAGS])).alias("flags"),
-        F.max("observed_at_ms").alias("last_updated_ms"), F.min("published_at_ms").alias("first_published_ms"), F.max("novelty_score").alias("novelty_score"),
-    ).join(tiers, "story_hint_key")
     flags = F.when(F.size("types") > 1, F.array_union("flags", F.array(F.lit("source_claim_conflict")))).otherwise(F.col("flags"))
     out = all_.withColumn("flags", flag_set(flags))
     f, n = F.col("flags"), F.col("source_count")
@@ -54,18 +73,27 @@ def merge(assessed: DataFrame) -> DataFrame:
     )
 
 
-def running(assessed: DataFrame) -> DataFrame:
+def running(assessed: DataFrame, bucket_ms: int = 3_600_000) -> DataFrame:
     """The story as each event found it: counts over the story's earlier events and its own.
 
     A new source is one that no earlier event of the story had, so counts are running
-    sums, not sets that grow with the story.
+    sums, not sets that grow with the story. Events are sorted per story and hour only;
+    one row per hour carries its sums to the later ones, so a hot story is spread over
+    as many tasks as it has hours. Events without observation time come first.
     """
-    rows = assessed.withColumn("story_hint_key", story_key(assessed)).dropDuplicates(["story_hint_key", "event_id"])
-    w = Window.partitionBy("story_hint_key").orderBy("observed_at_ms", "event_id")
-    new = (F.row_number().over(Window.partitionBy("story_hint_key", "source_id").orderBy("observed_at_ms", "event_id")) == 1).cast("int")
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("new", new).select(
-        "event_id", "story_hint_key", F.row_number().over(w).cast("long").alias("events_so_far"), F.sum("new").over(upto).alias("sources_so_far"), F.max("observed_at_ms").over(upto).alias("last_updated_ms"),
+    rows = _members(assessed).withColumn("_b", F.floor(F.coalesce("observed_at_ms", F.lit(-1)) / F.lit(bucket_ms)))
+    at = F.struct(F.coalesce("observed_at_ms", F.lit(-1)).alias("t"), "event_id")
+    first = rows.groupBy("story_hint_key", "source_id").agg(F.min(at).alias("m")).select("story_hint_key", F.col("m.event_id").alias("event_id"), F.lit(1).alias("new"))
+    # a story's event is the first of one source at most
+    rows = rows.join(first, ["story_hint_key", "event_id"], "left").withColumn("new", F.coalesce("new", F.lit(0)))
+    hours = rows.groupBy("story_hint_key", "_b").agg(F.count("*").alias("n"), F.sum("new").alias("s"), F.max("observed_at_ms").alias("last"))
+    before = Window.partitionBy("story_hint_key").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    hours = hours.select("story_hint_key", "_b", F.coalesce(F.sum("n").over(before), zero).alias("n"), F.coalesce(F.sum("s").over(before), zero).alias("s"), F.max("last").over(before).alias("last"))
+    upto = Window.partitionBy("story_hint_key", "_b").orderBy("observed_at_ms", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    inner = rows.select("event_id", "story_hint_key", "_b", F.count("*").over(upto).alias("i"), F.sum("new").over(upto).alias("j"), F.max("observed_at_ms").over(upto).alias("k"))
+    return inner.join(hours, ["story_hint_key", "_b"]).select(
+        "event_id", "story_hint_key", (F.col("n") + F.col("i")).alias("events_so_far"), (F.col("s") + F.col("j")).alias("sources_so_far"), F.greatest("last", "k").alias("last_updated_ms"),
     )
 
 

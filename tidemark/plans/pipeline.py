@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.ids import content_sha, dated_key, run_id, sampled, short_id
-from tidemark.functions.text import floor_to
+from tidemark.functions.text import floor_to, published_ms
 from tidemark.operators import gates, market, packets, rules, stories
 from tidemark.sources.tables import table
 
@@ -118,8 +118,8 @@ def index_admission(spark, d):
 def _placed(spark, d):
     """Each event id once, with its basis time and symbols; of several rows the earliest."""
     e = _events(spark, d).where("event_id is not null and fetched_at_ms is not null").withColumn("symbols", rules.normalized_symbols(F.col("symbol_candidates")))
-    published = F.when(F.col("published_at_ms").between(10**12, 10**13), F.col("published_at_ms"))
-    return e.groupBy("event_id").agg(F.min(F.struct(market.basis(published, F.col("fetched_at_ms")).alias("basis_ms"), "symbols")).alias("m")).select("event_id", "m.*")
+    basis = published_ms(F.col("published_at_ms"), F.col("fetched_at_ms"))
+    return e.groupBy("event_id").agg(F.min(F.struct(basis.alias("basis_ms"), "symbols")).alias("m")).select("event_id", "m.*")
 
 
 def window_radius_join(spark, d):
@@ -326,9 +326,12 @@ _TERMS = r"(^|[^A-Za-z0-9_])(" + "|".join(gates.FORBIDDEN) + r")($|[^A-Za-z0-9_]
 _BAD = lambda c: f"coalesce(regexp_matches({c}, '(?i){_TERMS}'), false)"
 #: Two passes, as neighbouring terms share the character between them.
 _REDACT = lambda c: f"regexp_replace(regexp_replace({c}, '(?i){_TERMS}', '\\1[blocked_output_term]\\3', 'g'), '(?i){_TERMS}', '\\1[blocked_output_term]\\3', 'g')"
+#: Publication time in milliseconds whatever its unit; null where it is null or 0.
+_PUBLISHED = """CASE WHEN published_at_ms = 0 THEN NULL WHEN abs(published_at_ms) < 100000000000 THEN published_at_ms * 1000 WHEN abs(published_at_ms) < 100000000000000 THEN published_at_ms
+  WHEN abs(published_at_ms) < 100000000000000000 THEN published_at_ms // 1000 ELSE published_at_ms // 1000000 END"""
 _PLACED = f"""
 WITH {_E}, b AS (
-  SELECT event_id, coalesce(CASE WHEN published_at_ms BETWEEN 1000000000000 AND 10000000000000 THEN published_at_ms END, fetched_at_ms) AS basis_ms, {_SYMBOLS} AS symbols
+  SELECT event_id, coalesce({_PUBLISHED}, fetched_at_ms) AS basis_ms, {_SYMBOLS} AS symbols
   FROM e WHERE event_id IS NOT NULL AND fetched_at_ms IS NOT NULL
 ), p AS (SELECT event_id, basis_ms, symbols FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY basis_ms, symbols) AS k FROM b) WHERE k = 1),
 w AS (SELECT DISTINCT indexed_window_start_ms AS s FROM l1_index WHERE status = 'success' AND indexed_window_start_ms IS NOT NULL),
@@ -345,18 +348,18 @@ z AS (SELECT *, CASE WHEN n = 0 THEN 6 WHEN s = base_ms THEN 1 WHEN base_ms - s
 best AS (SELECT event_id, min(r) AS r, count(*) AS n_windows, min(s) AS first_window_ms, CAST(sum(n) AS BIGINT) AS n_slices FROM z GROUP BY event_id)
 SELECT p.event_id, coalesce([{', '.join(f"'{r}'" for r in market.RANKS)}][r], 'pending') AS status, coalesce(n_windows, 0) AS n_windows, first_window_ms, coalesce(n_slices, 0) AS n_slices
 FROM p LEFT JOIN best ON p.event_id = best.event_id"""
-_PUBLISHED = "CASE WHEN abs(published_at_ms) < 100000000000 THEN published_at_ms * 1000 WHEN abs(published_at_ms) < 100000000000000 THEN published_at_ms WHEN abs(published_at_ms) < 100000000000000000 THEN published_at_ms // 1000 ELSE published_at_ms // 1000000 END"
 _SIG = f"list_filter(string_split_regex({low(txt('title'))}, '[^a-z0-9]+'), lambda w: strlen(w) >= 4 AND w NOT IN ({', '.join(f"'{w}'" for w in stories.STOPWORDS)}))"
 _HINT = short(
     "story_hint", f"coalesce({_TIME(f'coalesce({_PUBLISHED}, fetched_at_ms)', '%Y-%m-%d')}, '')", "event_type",
     "CASE WHEN len(symbols) > 0 THEN array_to_string(symbols, ',') ELSE 'general' END",
     f"CASE WHEN len(symbols) > 0 THEN event_type WHEN len({_SIG}) > 0 THEN array_to_string(list_slice({_SIG}, 1, 8), '_') ELSE 'untitled' END",
 )
-_STORY = f"WITH {_A}, s AS (SELECT DISTINCT ON (story_hint_key, event_id) * FROM (SELECT *, {_HINT} AS story_hint_key FROM a))"
+_STORY = f"""WITH {_A}, s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY story_hint_key, event_id ORDER BY observed_at_ms NULLS LAST, source_id NULLS FIRST, trust_tier NULLS FIRST) AS first
+  FROM (SELECT *, {_HINT} AS story_hint_key FROM a)) WHERE first = 1)"""
 _MERGED = _STORY + f""", g AS (
   SELECT story_hint_key, count(*) AS event_count, count(DISTINCT source_id) AS source_count, list_sort(list(DISTINCT event_type)) AS types,
     list_distinct(list_concat(flatten(list(flags)), CASE WHEN count(DISTINCT event_type) > 1 THEN ['source_claim_conflict'] ELSE CAST([] AS VARCHAR[]) END)) AS f,
-    max(observed_at_ms) AS last_updated_ms, min(published_at_ms) AS first_published_ms, max(novelty_score) AS novelty_score FROM s GROUP BY story_hint_key
+    max(observed_at_ms) AS last_updated_ms, min({_PUBLISHED}) AS first_published_ms, max(novelty_score) AS novelty_score FROM s GROUP BY story_hint_key
 ), t AS (
   SELECT story_hint_key, string_agg(coalesce(trust_tier, 'unknown') || '=' || n, ',' ORDER BY trust_tier NULLS FIRST) AS trust_mix
   FROM (SELECT story_hint_key, trust_tier, count(*) AS n FROM s GROUP BY ALL) GROUP BY story_hint_key
@@ -396,8 +399,8 @@ def oracle_sql() -> dict[str, str]:
     named = lambda c: f"CASE WHEN NOT {_BLANK(c)} THEN {c} END"
     waits = "CASE WHEN market_context_status IN ('pending', 'unavailable') THEN decision_available_at_ms + {} END"
     more = {
-        "packet_times": f"""WITH {_A} SELECT event_id, greatest(published_at_ms, fetched_at_ms, observed_at_ms) AS decision_available_at_ms, coalesce(published_at_ms, fetched_at_ms) AS relevant_from_ms,
-  coalesce(published_at_ms, fetched_at_ms) + CASE {decay} {widths} END AS relevant_to_ms, {txt('trust_tier')} || ' source ' || {txt('source_id')} || ' freshness_ms=' || (observed_at_ms - fetched_at_ms)
+        "packet_times": f"""WITH {_A} SELECT event_id, greatest({_PUBLISHED}, fetched_at_ms, observed_at_ms) AS decision_available_at_ms, coalesce({_PUBLISHED}, fetched_at_ms) AS relevant_from_ms,
+  coalesce({_PUBLISHED}, fetched_at_ms) + CASE {decay} {widths} END AS relevant_to_ms, {txt('trust_tier')} || ' source ' || {txt('source_id')} || ' freshness_ms=' || (observed_at_ms - fetched_at_ms)
   || ' content_quality=' || {_CQ} || ' score=' || coalesce(CAST(content_quality_score AS VARCHAR), 'unknown') || ' source_quality=' || {_SQ} || ' relevance_scope=' || coalesce(source_relevance_scope, 'unknown') AS source_quality_summary FROM a""",
         "text_evidence": _STAND_IN,
         "evidence_supported": f"""WITH {_A}, s AS (SELECT event_type, evidence, {low(f"{txt('title')} || chr(10) || chr(10) || substring({txt('body')}, 1, 50000)")} AS src FROM a)
@@ -440,7 +443,7 @@ def oracle_sql() -> dict[str, str]:
         "index_admission": _ADMITTED,
         "window_radius_join": _PLACED + f" SELECT event_id, base_ms, CAST((s - base_ms) // {GRID} AS INTEGER) AS k, s AS window_start_ms FROM g JOIN w ON s IN (base_ms - {GRID}, base_ms, base_ms + {GRID})",
         "asof_window": _PLACED + " SELECT event_id, base_ms, s AS asof_window_ms FROM g ASOF JOIN w ON g.base_ms >= w.s WHERE s >= base_ms - 21600000",
-        "first_slices": "SELECT window_start_ms, symbol, venue, slice_id, mid_price FROM (SELECT *, row_number() OVER (PARTITION BY window_start_ms, symbol, venue ORDER BY slice_id) AS k FROM (SELECT DISTINCT window_start_ms, symbol, venue, slice_id, mid_price FROM market_symbol_summaries)) WHERE k = 1",
+        "first_slices": "SELECT window_start_ms, symbol, venue, slice_id, CASE WHEN NOT isnan(mid_price) THEN mid_price END AS mid_price FROM (SELECT *, row_number() OVER (PARTITION BY window_start_ms, symbol, venue ORDER BY slice_id) AS k FROM (SELECT DISTINCT window_start_ms, symbol, venue, slice_id, mid_price FROM market_symbol_summaries)) WHERE k = 1",
         "context_status": _CONTEXT,
         "story_clusters": _MERGED,
         "story_running": _STORY
