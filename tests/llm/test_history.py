@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm.history import History, Likeness, alike, common, key_of, settle, signatures, words_of
+from tidemark.llm.history import History, Likeness, alike, common, key_of, settle, sign, signatures, words_of
 from tidemark.llm.queries import content_hash, dedup_key
 
 WORDS = [f"w{k}" for k in range(900)]
@@ -54,6 +54,13 @@ def test_repeated_words_are_elements_of_their_own():
     assert abs((bands[0] == bands[1]).mean() - 15 / 20) < 0.1
 
 
+def test_short_texts_beside_others_change_no_signature(spark):
+    long = " ".join(f"w{k}" for k in range(30))
+    alone = sign(spark.createDataFrame([("a", long)], "id string, body string"), Likeness()).drop("id").collect()
+    among = sign(spark.createDataFrame([("b", "too short"), ("a", long), ("c", None)], "id string, body string").coalesce(1), Likeness()).drop("id").collect()
+    assert alone == among and len(alone) == 1
+
+
 def sequential(records):
     """records: (id, keys, words) in order → (id, of)."""
     accepted, out = [], set()

@@ -148,9 +148,12 @@ def sign(texts: DataFrame, rule: Likeness) -> DataFrame:
             for k, i in enumerate(part):
                 joined = " ".join(lists[i])
                 rows[i] = (np.uint64(xxhash.xxh3_64_intdigest(joined)).astype(np.int64), joined, bands[k], *marks[k], bits[k])
-        return pd.DataFrame(rows, columns=["text_key", "words", "bands", *MARK, "bits"])
+        # as objects: beside a null, pandas would make whole numbers of 64 bits floating ones
+        return pd.DataFrame(rows, columns=["text_key", "words", "bands", *MARK, "bits"], dtype=object)
 
-    return texts.select("id", make("body").alias("s")).where("s.text_key is not null").select("id", "s.*")
+    # were it deterministic, the filter would be pushed below a join of texts, and all of them signed there once more
+    made = texts.select("id", make.asNondeterministic()("body").alias("s"))
+    return made.where("s.text_key is not null").select("id", "s.*")
 
 
 #: Keys that may be broadcast to filter rows, some 16 MB; beyond that a shuffle join does it.
@@ -163,8 +166,8 @@ SALTS = 16
 
 def narrowed(rows: DataFrame, keys: DataFrame, *on: str, how: str = "left_semi") -> DataFrame:
     """rows whose key is among the (materialised) keys, or isn't; broadcast only after counting them."""
-    keys = keys.select(*on).distinct()
-    return rows.join(F.broadcast(keys) if keys.count() <= MOST_BROADCAST else keys, [*on], how)
+    keys = keys.select(*on)
+    return rows.join(F.broadcast(keys) if keys.count() <= MOST_BROADCAST else keys.distinct(), [*on], how)
 
 
 def _close(rule: Likeness) -> Column:
@@ -256,7 +259,7 @@ TABLES = {
     "bands": ("band bigint, text_key bigint, mark bigint, more bigint", "band"),
     "texts": ("text_key bigint, words string, bits array<bigint>", "text_key"),
 }
-PENDING = {"pending": ("band bigint, text_key bigint, mark bigint, more bigint", "band"), "matched": ("band bigint, text_key bigint, mark bigint, more bigint, m bigint", "band")}
+PENDING = {"pending": TABLES["bands"]}
 
 
 def text_id(c: Column) -> Column:
@@ -333,7 +336,7 @@ class History:
         gone = None
         if past:
             hits = held.join(past["keys"], "key").select("id", "of")
-            pairs = self._old_pairs(new, past["bands"], batch)
+            pairs = self._old_pairs(new, past["bands"])
             old = _verified(pairs, texts, past["texts"], self.rule)
             old = old.select(text_id(F.col("a")).alias("mine"), text_id(F.col("b")).alias("key")).join(past["keys"], "key")
             hits = hits.unionByName(held.join(old.select(F.col("mine").alias("key"), "of"), "key").select("id", "of"))
@@ -356,25 +359,25 @@ class History:
         found = repeats.select("rank.id", F.col("of.id").alias("of_id"))
         return found if gone is None else found.unionByName(gone.select("id", F.col("of.id").alias("of_id")))
 
-    def _sized(self, new: DataFrame) -> DataFrame:
-        """Band rows with the size n of their bucket, counted where they lie."""
-        return new.withColumn("n", F.count("*").over(Window.partitionBy("band")))
+    def _shared(self, new: DataFrame) -> DataFrame:
+        """Band rows of buckets with other members in the batch, and n, how many there are. Most rows have none."""
+        sizes = new.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+        return written(new.join(sizes.hint("shuffle_hash"), "band"), "shared")
 
-    def _old_pairs(self, new: DataFrame, old: DataFrame, batch: int) -> DataFrame:
+    def _old_pairs(self, new: DataFrame, old: DataFrame) -> DataFrame:
         """Pairs (a new, b old) that share a bucket and are close by their marks.
 
-        Stored rows without a partner in the batch fall away inside their bucket, before
-        anything is counted.
+        Rows without a partner on the other side fall away inside their bucket, before
+        anything is counted, sorted or shuffled.
         """
-        most = self.rule.bucket
-        matched = old.join(new.select("band"), "band", "left_semi").withColumn("m", F.count("*").over(Window.partitionBy("band")))
-        self.tables["matched"].put(matched, batch, placed=True)
-        matched, sized = self.tables["matched"].rows([batch]), self._sized(new)
-        some = _met(_side(sized.where(F.col("n") <= most), "a"), _side(matched.where(F.col("m") <= most), "b"), ["band"], self.rule)
-        sizes = sized.select("band", "n").dropDuplicates(["band"]).join(matched.select("band", "m").dropDuplicates(["band"]), "band")
-        hot = written(sizes.where((F.col("n") > most) | (F.col("m") > most)).select("band"), "hot")
+        most, members = self.rule.bucket, Window.partitionBy("band")
+        theirs = written(old.join(new.select("band").hint("shuffle_hash"), "band", "left_semi").withColumn("m", F.count("*").over(members)), "theirs")
+        mine = written(narrowed(new, theirs, "band").withColumn("n", F.count("*").over(members)), "mine")
+        some = _met(_side(mine.where(F.col("n") <= most), "a"), _side(theirs.where(F.col("m") <= most), "b"), ["band"], self.rule)
+        large = mine.where(F.col("n") > most).select("band").unionByName(theirs.where(F.col("m") > most).select("band"))
+        hot = written(large.distinct(), "hot")
         if not hot.isEmpty():
-            some = some.unionByName(_across(narrowed(new, hot, "band"), narrowed(matched, hot, "band"), self.rule))
+            some = some.unionByName(_across(narrowed(mine, hot, "band"), narrowed(theirs, hot, "band"), self.rule))
         return written(some.distinct(), "pairs")
 
     def _settled(self, held: DataFrame, texts: DataFrame, new: DataFrame, fresh: DataFrame) -> DataFrame:
@@ -400,11 +403,11 @@ class History:
             contested = written(held.join(ids, "id", "left_semi").select("rank", "key"), "contested")
             return written(settle(contested, near)[1], "repeats", keep=True)
 
-        sized = self._sized(new)
-        some = sized.where((F.col("n") > 1) & (F.col("n") <= self.rule.bucket))
-        pairs = _met(_side(some, "a"), _side(new, "b"), ["band"], self.rule).where("a < b").distinct()
+        shared = self._shared(new)
+        some = shared.where(F.col("n") <= self.rule.bucket)
+        pairs = _met(_side(some, "a"), _side(some, "b"), ["band"], self.rule).where("a < b").distinct()
         near = written(both(_verified(written(pairs, "pairs"), texts, texts, self.rule)), "near")
-        crowded = written(sized.where(F.col("n") > self.rule.bucket).select("band", "text_key", *MARK), "crowded")
+        crowded = written(shared.where(F.col("n") > self.rule.bucket).select("band", "text_key", *MARK), "crowded")
         if crowded.isEmpty():
             return resolve(near)
         holders = written(fresh.join(held.select("id").distinct(), "id", "left_semi").where("text_key is not null").select("text_key", "rank"), "holders")

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, functions as F
 
 CAPACITY = 8192
 CELL = 2048
+#: Tasks that cells are packed in; more cells share them evenly.
+MOST_TASKS = 4096
 
 
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:
@@ -76,6 +78,8 @@ def pack(sizes: DataFrame, rows: int, capacity: int = CAPACITY, cell: int = CELL
     if capacity < 1:
         raise ValueError("capacity must be positive")
     cells = max(1, -(-rows // cell))
+    # packing is work and not bytes, so cells get tasks of their own instead of being merged by size
+    tasks = min(cells, MOST_TASKS)
     one = sizes.groupBy("doc_id").agg(F.coalesce(F.max("n_tokens").cast("long"), F.lit(0).cast("long")).alias("n"))
     full = F.call_function("div", F.col("n"), F.lit(capacity).cast("long"))
     whole = one.where(F.col("n") >= capacity).select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), full - 1)).alias("part_no"))
@@ -93,10 +97,13 @@ def pack(sizes: DataFrame, rows: int, capacity: int = CAPACITY, cell: int = CELL
         return items[["doc_id", "part_no", "n_tokens", "container_id"]]
 
     kind = sizes.schema["doc_id"].dataType.simpleString()
-    return filled.unionByName(rest.groupBy("cell").applyInPandas(of_cell, f"doc_id {kind}, part_no bigint, n_tokens bigint, container_id string"))
+    return filled.unionByName(rest.repartition(tasks, "cell").groupBy("cell").applyInPandas(of_cell, f"doc_id {kind}, part_no bigint, n_tokens bigint, container_id string"))
 
 
 def profile(assigned: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """One row: containers, tokens, mean fill and the fullest container."""
+    """One row: containers, the fewest that could do, tokens, parts, the fullest container and mean fill."""
     loads = assigned.groupBy("container_id").agg(F.sum("n_tokens").alias("load"), F.count("*").alias("n"))
-    return loads.agg(F.count("*").alias("n_containers"), F.sum("load").alias("n_tokens"), F.sum("n").alias("n_parts"), (F.sum("load") / (F.count("*") * F.lit(capacity))).alias("fill"), F.max("load").alias("max_load"))
+    cap = F.lit(capacity).cast("long")
+    return loads.agg(F.count("*").alias("n_containers"), F.sum("load").alias("n_tokens"), F.sum("n").alias("n_parts"), F.max("load").alias("max_load")).select(
+        "n_containers", F.call_function("div", F.col("n_tokens") + cap - 1, cap).alias("fewest"), "n_tokens", "n_parts", "max_load", (F.col("n_tokens") / (F.col("n_containers") * cap)).alias("fill")
+    )

@@ -52,7 +52,7 @@ def content_hash(c: Column) -> Column:
     return F.when(bare != EMPTY_HASH, bare)
 
 
-def p4_found(spark: SparkSession, d: str, steps: int = 4) -> DataFrame:
+def p4_found(spark: SparkSession, d: str, steps: int = 3) -> DataFrame:
     """Events that repeat an accepted one, given to the store in `steps` batches of rising time."""
     with scratch(spark):
         return _repeats(spark, d, steps)
@@ -91,6 +91,24 @@ def p9_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(sizes, docs.count())
 
 
+def p9_fill(spark: SparkSession, d: str) -> DataFrame:
+    """How full the containers are against the fewest that could hold all tokens."""
+    return packing.profile(p9_containers(spark, d))
+
+
+def p9_checks(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of every packing: each document whole and once, no container too full."""
+    assigned = written(p9_containers(spark, d), "containers")
+    docs = assigned.groupBy("doc_id").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("parts")).withColumn("kind", F.lit("document"))
+    loads = assigned.groupBy("container_id").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("parts")).withColumn("kind", F.lit("container"))
+    both = docs.select("kind", "n", "parts").unionByName(loads.select("kind", "n", "parts"))
+    count = lambda kind, c: F.count(F.when((F.col("kind") == kind) & c, 1))
+    over = F.col("n") > packing.CAPACITY
+    return both.agg(
+        count("document", F.lit(True)).alias("n_documents"), count("document", ~over & (F.col("parts") > 1)).alias("n_split_without_need"), count("container", over).alias("n_too_full")
+    )
+
+
 def p10_levels(spark: SparkSession, d: str) -> DataFrame:
     return reading.reading_levels(table(spark, d, "documents"), table(spark, d, "reading_labels")).select("doc_id", "reading_level")
 
@@ -102,7 +120,7 @@ def p10_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p3_found, p4_found, p8_ids, p9_containers, p10_levels, p10_profile)}
+    return {f.__name__: f for f in (p3_found, p4_found, p8_ids, p9_containers, p9_fill, p9_checks, p10_levels, p10_profile)}
 
 
 _NEAREST = r"""
@@ -119,4 +137,5 @@ SELECT DISTINCT packet_id, symbol, snapshot_id FROM j WHERE k = 1"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": _NEAREST}
+    checks = "SELECT count(DISTINCT doc_id) AS n_documents, CAST(0 AS BIGINT) AS n_split_without_need, CAST(0 AS BIGINT) AS n_too_full FROM documents"
+    return {"p3_found": _NEAREST, "p9_checks": checks}
