@@ -109,3 +109,20 @@ def context(events: DataFrame, slices: DataFrame, width: int, lookback: int = 6
         "event_id", F.coalesce(F.element_at(F.array(*map(F.lit, RANKS)), F.col("r").cast("int")), F.lit("pending")).alias("status"),
         F.coalesce("n_windows", zero).alias("n_windows"), "first_window_ms", F.coalesce("n_slices", zero).alias("n_slices"),
     )
+
+
+def merged_snapshots(snapshots: DataFrame, by: list[str], order: list[str], base: list[str], keys: list[str], joined: str) -> DataFrame:
+    """One snapshot per group: the first's own columns, the best status, each key from the first that has it.
+
+    by: columns of a group; order: which snapshot is first. base: columns taken from the
+    first, null or not. keys: columns taken from the first snapshot where they aren't
+    null. joined: an array column, concatenated in order. Unknown statuses rank last.
+    """
+    at = F.struct(*order)
+    rank = F.array_position(F.array(*map(F.lit, RANKS)), F.col("status"))
+    first = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct(at.alias("at"), F.col(c).alias("v"))))["v"].alias(c)
+    lists = F.array_sort(F.collect_list(F.when(F.col(joined).isNotNull(), F.struct(at.alias("at"), F.col(joined).alias("v")))))
+    return snapshots.groupBy(*by).agg(
+        F.min(F.struct(at.alias("at"), *base)).alias("m"), F.min(F.when(rank > 0, rank)).cast("int").alias("r"), *[first(k) for k in keys],
+        F.flatten(F.transform(lists, lambda x: x["v"])).alias(joined), F.count("*").alias("n_merged"),
+    ).select(*by, *[f"m.{c}" for c in base], F.element_at(F.array(*map(F.lit, RANKS)), F.col("r")).alias("status"), *keys, joined, "n_merged")

@@ -89,6 +89,42 @@ def json_object(c: Column) -> Column:
     return F.nullif(F.regexp_extract(c, r"(?s)\{.*\}", 0), F.lit(""))
 
 
+# The shape of a provider's response.
+RESPONSE = (
+    "normalized_symbols array<string>, symbol_confidence_band string, event_type string, topic_summary string, stance_summary string, risk_summary string, regime_hint string, scenario_hint string,"
+    " contradiction_flags array<string>, evidence_ids array<string>, confidence_score double, confidence_band string, novelty_score double, terminal_decision string"
+)
+BANDS, SYMBOL_BANDS = ["low", "medium", "high"], ["weak", "moderate", "strong"]
+TEXTS, MOST_CHARS, MOST_SYMBOL = ["topic_summary", "stance_summary", "risk_summary", "regime_hint", "scenario_hint"], 512, 16
+NEED_EVIDENCE, NEVER = ["high_confidence_structured", "conflicted"], "quarantine_only"
+
+
+def response_error(raw: Column, known_ids: Column) -> Column:
+    """The first thing wrong with a response that was asked for with the given evidence ids; null if nothing is."""
+    body = json_object(raw)
+    r = F.from_json(body, RESPONSE)
+    ids = F.coalesce(r["evidence_ids"], F.array().cast("array<string>"))
+    none, score = F.size(ids) == 0, lambda c: ~F.coalesce(r[c].between(0.0, 1.0), F.lit(False))
+    symbols = F.transform(F.coalesce(r["normalized_symbols"], F.array().cast("array<string>")), lambda x: F.coalesce(x, F.lit("")))
+    error = (
+        F.when(body.isNull() | F.try_parse_json(body).isNull(), "not_json")
+        .when(F.exists(ids, lambda i: ~F.coalesce(F.array_contains(known_ids, i), F.lit(False))), "unknown_evidence")
+        .when(~F.coalesce(r["symbol_confidence_band"].isin(SYMBOL_BANDS), F.lit(False)), "symbol_band").when(~F.coalesce(r["confidence_band"].isin(BANDS), F.lit(False)), "confidence_band")
+        .when((r["confidence_band"] == "high") & none, "high_without_evidence").when(r["terminal_decision"].isin(NEED_EVIDENCE) & none, "decision_without_evidence")
+        .when(r["terminal_decision"] == NEVER, "decision").when(score("confidence_score"), "confidence_score").when(score("novelty_score"), "novelty_score")
+    )
+    for t in TEXTS:
+        error = error.when(blank(r[t]), "text_empty").when(F.length(r[t]) > MOST_CHARS, "text_too_long")
+    bare = lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+    return error.when(F.exists(symbols, lambda x: ~bare(x).rlike(f"^[A-Z0-9]{{1,{MOST_SYMBOL}}}$")), "symbol")
+
+
+def pointers(packets: DataFrame, payload: Column, key: Column, bucket: str, schema: str, manifest: Column) -> DataFrame:
+    """What is published of each stored packet: its identity, decision and where its bytes lie."""
+    ref = F.struct(F.lit(bucket).alias("bucket"), key.alias("key"), F.concat(F.lit("sha256:"), F.sha2(payload, 256)).alias("content_sha256"), F.lit(schema).alias("schema_version"))
+    return packets.select("packet_id", "raw_event_id", "terminal_decision", ref.alias("storage_ref"), manifest.alias("manifest_key"), F.col("structured_at_ms").alias("created_at_ms"))
+
+
 def with_responses(events: DataFrame, responses: DataFrame, stage: str) -> DataFrame:
     """events with the provider's valid response of one stage, or null.
 
