@@ -113,6 +113,15 @@ def p10_levels(spark: SparkSession, d: str) -> DataFrame:
     return reading.reading_levels(table(spark, d, "documents"), table(spark, d, "reading_labels")).select("doc_id", "reading_level")
 
 
+def p10_heldout(spark: SparkSession, d: str) -> DataFrame:
+    """How well levels agree with judgements that took no part in the fit: a fifth of the judged documents, by hash."""
+    labels, held = table(spark, d, "reading_labels"), F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
+    levels = reading.reading_levels(table(spark, d, "documents"), labels.where(~held)).select("doc_id", "reading_level")
+    judged = labels.where(held).groupBy("doc_id").agg(F.avg("reading_level").alias("judged"))
+    both = levels.where("reading_level is not null").join(judged, "doc_id")
+    return both.agg(F.count("*").alias("n_documents"), F.corr("reading_level", "judged").alias("correlation"), F.avg(F.abs(F.col("reading_level") - F.col("judged"))).alias("mean_error"))
+
+
 def p10_profile(spark: SparkSession, d: str) -> DataFrame:
     """Documents per language and rounded level."""
     levels = p10_levels(spark, d).select("doc_id", F.round("reading_level").cast("int").alias("level"))
@@ -120,7 +129,7 @@ def p10_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p3_found, p4_found, p8_ids, p9_containers, p9_fill, p9_checks, p10_levels, p10_profile)}
+    return {f.__name__: f for f in (p3_found, p4_found, p8_ids, p9_containers, p9_fill, p9_checks, p10_levels, p10_heldout, p10_profile)}
 
 
 _NEAREST = r"""

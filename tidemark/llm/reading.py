@@ -8,11 +8,13 @@ estimated in turn: word parameters from the judged documents, levels of all docu
 from those, word parameters again from all documents (judged ones weigh more), then the
 final levels.
 
-Each turn is one pass over word bags that were made once.  Words share 2^16 slots by
-hash, so the model, the sums that a task emits and what is broadcast have a fixed size
-whatever the corpus.  Judged documents are never measured with word parameters that
-their own half of the judgements went into; the straight line from latent level to
-judged scale is fitted on those honest levels.
+Each turn is one pass over word bags that were made once; turns go on until the spread of
+words over levels settles.  Words share a number of slots by hash, a parameter, so the
+model, the sums that a task emits and what is broadcast have a fixed size whatever the
+corpus; with more slots than words it is the model by word but for few collisions.
+Judged documents are never measured with word parameters that their own half of the
+judgements went into; the straight line from latent level to judged scale is fitted on
+those honest levels.
 """
 
 from __future__ import annotations
@@ -30,16 +32,19 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.tokens import small_batches
 from tidemark.session import written
 
-SLOTS = 1 << 16
+#: Slots that words share, and slots solved at once, which bounds the memory of a fit.
+SLOTS, CHUNK = 1 << 16, 1 << 14
 GRID = np.linspace(-1.0, 7.0, 81)
 #: Groups of sums: documents without judgement, and the two halves of the judged ones.
 FREE, HALVES = 0, (1, 2)
 WORD = re.compile(r"[^\W\d_]+")
 MOST_JUDGED = 200_000
+#: Turns at most, and the share of all words that may still change level when they end.
+MOST_TURNS, SETTLED = 6, 0.01
 JUDGED_WEIGHT = 5.0
 
 
-def bag(text: str | None, known: dict[str, int]) -> tuple[list[int], list[float]]:
+def bag(text: str | None, known: dict[str, int], slots_of: int = SLOTS) -> tuple[list[int], list[float]]:
     """Slots of a text's words and the square roots of their counts (repeats say less)."""
     counts = Counter(WORD.findall(text.lower())) if text else {}
     slots = []
@@ -48,18 +53,18 @@ def bag(text: str | None, known: dict[str, int]) -> tuple[list[int], list[float]
         if slot is None:
             if len(known) > 500_000:
                 known.clear()
-            slot = known[word] = zlib.crc32(word.encode("utf-8", "replace")) % SLOTS
+            slot = known[word] = zlib.crc32(word.encode("utf-8", "replace")) % slots_of
         slots.append(slot)
     return slots, [n**0.5 for n in counts.values()]
 
 
-def bags(documents: DataFrame) -> DataFrame:
+def bags(documents: DataFrame, slots: int = SLOTS) -> DataFrame:
     """documents(doc_id, text) → doc_id, slots, weights; one row per row."""
 
     @F.pandas_udf("slots array<int>, weights array<float>")
     def make(text: pd.Series) -> pd.DataFrame:
         known: dict[str, int] = {}
-        return pd.DataFrame([bag(t, known) for t in text], columns=["slots", "weights"])
+        return pd.DataFrame([bag(t, known, slots) for t in text], columns=["slots", "weights"])
 
     return small_batches(documents).select("doc_id", make("text").alias("b")).select("doc_id", "b.slots", "b.weights")
 
@@ -68,24 +73,27 @@ class Model:
     """Slopes of all slots and log Z on the grid; levels are relative to `centre`."""
 
     def __init__(self, stats: dict[int, np.ndarray], groups: list[int], spread: float = 1.0, steps: int = 8):
-        words = sum(stats[g][:SLOTS] for g in groups)
-        exposure = sum(stats[g][SLOTS:, 0] for g in groups)
+        words = sum(stats[g][: -len(GRID)] for g in groups)
+        exposure = sum(stats[g][-len(GRID) :, 0] for g in groups)
         total = max(exposure.sum(), 1e-9)
         self.centre = float((exposure * GRID).sum() / total)
         at = GRID - self.centre
-        count, lean = words[:, 0], words[:, 1] - self.centre * words[:, 0]
-        slope = np.zeros(SLOTS)
-        for _ in range(steps):
-            e = exposure * np.exp(np.clip(slope[:, None] * at, -30, 30))
-            z = np.maximum(e.sum(1), 1e-12)
-            mean = (e * at).sum(1) / z
-            var = np.maximum((e * at * at).sum(1) / z - mean * mean, 0)
-            slope = np.clip(slope + (lean - count * mean - slope / spread) / (count * var + 1 / spread), -3, 3)
-        z = np.maximum((exposure * np.exp(np.clip(slope[:, None] * at, -30, 30))).sum(1), 1e-12)
-        seen = count > 0
-        ease = np.log(count[seen] / z[seen])
-        self.log_z = np.array([np.log(np.exp(slope[seen] * t + ease).sum()) for t in at]) if seen.any() else np.zeros(len(at))
-        self.slope = slope
+        self.slope = np.zeros(len(words))
+        sums = np.zeros(len(at))
+        for low in range(0, len(words), CHUNK):
+            count, lean = words[low : low + CHUNK, 0], words[low : low + CHUNK, 1] - self.centre * words[low : low + CHUNK, 0]
+            slope = np.zeros(len(count))
+            for _ in range(steps):
+                e = exposure * np.exp(np.clip(slope[:, None] * at, -30, 30))
+                z = np.maximum(e.sum(1), 1e-12)
+                mean = (e * at).sum(1) / z
+                var = np.maximum((e * at * at).sum(1) / z - mean * mean, 0)
+                slope = np.clip(slope + (lean - count * mean - slope / spread) / (count * var + 1 / spread), -3, 3)
+            z = np.maximum((exposure * np.exp(np.clip(slope[:, None] * at, -30, 30))).sum(1), 1e-12)
+            seen = count > 0
+            sums += np.exp(slope[seen, None] * at + np.log(count[seen] / z[seen])[:, None]).sum(0)
+            self.slope[low : low + CHUNK] = slope
+        self.log_z = np.log(sums) if (sums > 0).all() else np.zeros(len(at))
 
     def level(self, lean: np.ndarray, size: np.ndarray, mean: float, sd: float) -> np.ndarray:
         """Posterior mean level of documents with the given summed slopes and sizes."""
@@ -115,14 +123,14 @@ def _levels(batch: pa.RecordBatch, models: list[Model], prior: tuple[float, floa
     return out, flat, weight, row, size, group
 
 
-def sums(rows: DataFrame, models: list[Model] | None, prior: tuple[float, float]) -> dict[int, np.ndarray]:
+def sums(rows: DataFrame, models: list[Model] | None, prior: tuple[float, float], slots: int = SLOTS) -> dict[int, np.ndarray]:
     """One turn's sums per group: of each slot, weight and weighted level; exposure of each grid point.
 
     rows(slots, weights, part, judged). Without models only judged documents count. A
     task emits one row per slot it met, so what is shuffled and fetched depends on the
     model's size and not on the corpus.
     """
-    size_of = SLOTS + len(GRID)
+    size_of = slots + len(GRID)
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((3, size_of, 2))
@@ -139,9 +147,9 @@ def sums(rows: DataFrame, models: list[Model] | None, prior: tuple[float, float]
             point = np.clip(np.rint((level - GRID[0]) / (GRID[1] - GRID[0])).astype(int), 0, len(GRID) - 1)
             for g in range(3):
                 w = share * (group == g)
-                total[g, :SLOTS, 0] += np.bincount(flat, weight * w[row], SLOTS)
-                total[g, :SLOTS, 1] += np.bincount(flat, weight * (w * level)[row], SLOTS)
-                total[g, SLOTS:, 0] += np.bincount(point, size * w, len(GRID))
+                total[g, :slots, 0] += np.bincount(flat, weight * w[row], slots)
+                total[g, :slots, 1] += np.bincount(flat, weight * (w * level)[row], slots)
+                total[g, slots:, 0] += np.bincount(point, size * w, len(GRID))
         g, slot = np.nonzero(total[:, :, 0])
         yield pa.RecordBatch.from_arrays([pa.array(g.astype(np.int32)), pa.array(slot.astype(np.int32)), pa.array(total[g, slot, 0]), pa.array(total[g, slot, 1])], ["part", "slot", "n", "s"])
 
@@ -156,18 +164,20 @@ def sums(rows: DataFrame, models: list[Model] | None, prior: tuple[float, float]
     return out
 
 
-def reading_levels(documents: DataFrame, labels: DataFrame, turns: int = 1, most_judged: int = MOST_JUDGED) -> DataFrame:
+def reading_levels(documents: DataFrame, labels: DataFrame, most_turns: int = MOST_TURNS, most_judged: int = MOST_JUDGED, slots: int = SLOTS) -> DataFrame:
     """documents(doc_id, text), labels(doc_id, reading_level) → doc_id, reading_level, judged.
 
     reading_level lies on the scale of the labels, clipped to their range; it is null for
     texts without words, and for all if there are no labels. Several judgements of a
     document count as their mean; labels of unknown documents don't count. At most
     `most_judged` judged documents, picked by hash, take part in fitting (a bound that
-    lets them be broadcast); the levels, sums and passes cover all documents.
+    lets them be broadcast); the levels, sums and passes cover all documents. Turns end
+    once at most SETTLED of all words lie at another level than a turn before, and after
+    `most_turns`.
     """
     means = labels.dropna(subset=["doc_id", "reading_level"]).groupBy("doc_id").agg(F.avg("reading_level").alias("judged"))
     means = means.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_judged)
-    rows = bags(documents).join(F.broadcast(means), "doc_id", "left")
+    rows = bags(documents, slots).join(F.broadcast(means), "doc_id", "left")
     part = F.when(F.col("judged").isNull(), FREE).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(2)) + HALVES[0]).cast("int")
     rows = written(rows.select("doc_id", "slots", "weights", F.coalesce("judged", F.lit(float("nan"))).alias("judged"), part.alias("part")), "bags")
     judged = rows.where("not isnan(judged)")
@@ -175,11 +185,16 @@ def reading_levels(documents: DataFrame, labels: DataFrame, turns: int = 1, most
     if mean is None:
         return rows.select("doc_id", F.lit(None).cast("double").alias("reading_level"), F.lit(None).cast("double").alias("judged"))
     prior = (mean, max(sd, 0.1))
-    one = Model(sums(judged, None, prior), [*HALVES])
-    models = [one] * 3
-    for _ in range(turns):
-        got = sums(rows, models, prior)
+    one = Model(sums(judged, None, prior, slots), [*HALVES])
+    models, before = [one] * 3, None
+    for _ in range(most_turns):
+        got = sums(rows, models, prior, slots)
         models = [Model(got, [FREE, *HALVES]), Model(got, [FREE, HALVES[1]]), Model(got, [FREE, HALVES[0]])]
+        exposure = sum(got[g][-len(GRID) :, 0] for g in got)
+        exposure = exposure / max(exposure.sum(), 1e-9)
+        if before is not None and np.abs(exposure - before).sum() / 2 <= SETTLED:
+            break
+        before = exposure
 
     def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
