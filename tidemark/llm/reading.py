@@ -41,7 +41,7 @@ WORD = re.compile(r"[^\W\d_]+")
 MOST_JUDGED = 200_000
 #: Turns at most, and the share of all words that may still change level when they end.
 MOST_TURNS, SETTLED = 6, 0.01
-JUDGED_WEIGHT = 5.0
+JUDGED_WEIGHT = 50.0
 
 
 def bag(text: str | None, known: dict[str, int], slots_of: int = SLOTS) -> tuple[list[int], list[float]]:
