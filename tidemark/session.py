@@ -48,9 +48,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         for path in _scratch.pop():
             fs, at = hadoop_fs(spark, path)
             fs.delete(at, True)
-        # plans that nothing refers to any more give their shuffle files back
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
+        give_back(spark)
+
+
+def give_back(spark: SparkSession) -> None:
+    """Lets plans that nothing refers to any more give their shuffle files and broadcasts back."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def written(df: DataFrame, name: str = "cut", keep: bool = False) -> DataFrame:
@@ -66,6 +70,13 @@ def written(df: DataFrame, name: str = "cut", keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, table: DataFrame) -> None:
+    """Removes the files of a table from `written` that nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        fs, at = hadoop_fs(spark, path)
+        fs.delete(at, True)
+
+
 def hadoop_fs(spark: SparkSession, path: str):
     """The file system of a path, and the path, as Hadoop has them."""
     jvm = spark.sparkContext._jvm
