@@ -15,10 +15,10 @@ from tidemark.functions.text import any_of, ascii_lower, ascii_upper, blank, squ
 # Event types in the order they are tried, with the substrings that decide.
 TYPES = [
     ("delisting", ["delist", "remove trading pair", "trading pair removal"]),
-    ("listing", ["list", "new trading pair"]),
-    ("deposit_withdrawal", ["deposit", "withdrawal"]),
+    ("listing", ["list", "listing", "new trading pair"]),
+    ("deposit_withdrawal", ["deposit", "withdrawal", "suspend deposits", "suspend withdrawals"]),
     ("incident", ["exploit", "hack", "breach", "incident", "outage", "halt"]),
-    ("regulatory", ["sec", "cftc", "lawsuit", "regulator", "sanction"]),
+    ("regulatory", ["sec", "cftc", "lawsuit", "regulator", "regulatory", "sanction"]),
     ("token_unlock", ["unlock", "vesting"]),
     ("governance", ["governance", "proposal", "vote"]),
     ("partnership", ["partnership", "integrates", "collaboration"]),
@@ -123,30 +123,41 @@ def excerpts(events: DataFrame, most: int = 10, chars: int = 420) -> DataFrame:
     return out.select("event_id", F.concat(F.lit("E"), (F.col("i") + 1).cast("string")).alias("rank"), F.substring(F.col("e.text"), 1, chars).alias("excerpt"), (-F.col("e.minus")).alias("score"))
 
 
+# How sources and contents are named that the predicates below look for.
+TITLE_ONLY = ["title_only", "metadata_fallback"]
+BROAD = ["global_symbol_scan", "metadata_fallback"]
+TRUSTED_SOURCE, TRUSTED_CATEGORY = ["official", "exchange"], ["official", "exchange", "project"]
+TRUSTED_QUALITY = ["official_source", "official_notice", "exchange_notice", "project_notice", "trusted_symbol_match"]
+COPIED = ["syndicated", "duplicate"]
+OFFICIAL = ["official", "exchange", "binance", "upbit", "bithumb", "project", "notice"]
+DERIVATIVES = ["funding", "open_interest", "open-interest", "liquidation"]
+MODEL_QUALITY = ["community_reaction", "market_snapshot"]
+
+
 def quality(events: DataFrame) -> DataFrame:
     """Predicates on how an event was collected, and the set of evidence-quality reasons in fixed order."""
     sq, cq, scope = F.coalesce("source_quality", F.lit("unknown")), F.coalesce("content_quality", F.lit("unknown")), text("source_relevance_scope")
     source, cat, kind = text("source_id"), text("source_category"), ascii_lower(F.coalesce("content_kind", F.lit("unknown")))
     numeric = (sq == "market_snapshot") | (cq == "numeric_observation")
-    title_only = cq.isin("title_only", "metadata_fallback")
+    title_only = cq.isin(TITLE_ONLY)
     trusted = (
-        (text("trust_tier") == "T0") | any_of(source, ["official", "exchange"]) | any_of(cat, ["official", "exchange", "project"])
-        | sq.isin("official_source", "official_notice", "exchange_notice", "project_notice", "trusted_symbol_match")
+        (text("trust_tier") == "T0") | any_of(source, TRUSTED_SOURCE) | any_of(cat, TRUSTED_CATEGORY)
+        | sq.isin(TRUSTED_QUALITY)
     )
     symbols = normalized_symbols(F.col("symbol_candidates"))
-    copied = any_of(sq, ["syndicated", "duplicate"])
+    copied = any_of(sq, COPIED)
     many = (F.size(symbols) > 1) | (F.coalesce(F.size("symbol_candidates"), F.lit(0)) > 1)
     reasons = F.array_compact(F.array(
         F.when(numeric, "baseline_missing"), F.when(numeric, "single_numeric_snapshot"), F.lit("single_source_only"),
         F.when(cq == "title_only", "title_only"), F.when(many, "symbol_ambiguous"), F.when(copied, "duplicate_or_syndicated_source"),
     ))
-    official = any_of(ascii_lower(F.concat_ws(" ", source, cat, sq)), ["official", "exchange", "binance", "upbit", "bithumb", "project", "notice"])
+    official = any_of(ascii_lower(F.concat_ws(" ", source, cat, sq)), OFFICIAL)
     return events.withColumns({
         "is_numeric": numeric,
-        "is_derivatives": any_of(ascii_lower(source), ["funding", "open_interest", "open-interest", "liquidation"]) | F.contains(kind, F.lit("derivatives")),
-        "is_broad_scan": title_only | sq.isin("global_symbol_scan", "metadata_fallback") | (scope == "global_symbol_scan"),
+        "is_derivatives": any_of(ascii_lower(source), DERIVATIVES) | F.contains(kind, F.lit("derivatives")),
+        "is_broad_scan": title_only | sq.isin(BROAD) | (scope == "global_symbol_scan"),
         "is_trusted": trusted,
-        "needs_model": sq.isin("community_reaction", "market_snapshot") | title_only,
+        "needs_model": sq.isin(MODEL_QUALITY) | title_only,
         "needs_escalation": F.coalesce(F.col("content_quality_score") < 45, F.lit(False)) | (scope == "global_symbol_scan"),
         "is_official": official,
         "reasons": reasons,

@@ -236,6 +236,38 @@ def queries() -> dict:
 
 # --- SQL -------------------------------------------------------------------------------
 
+#: The SQL has its own copy of all fixed values, so that a wrong list in an operator shows.
+SQL_EVIDENCE = ["list", "delist", "deposit", "withdraw", "hack", "exploit", "regulat", "proposal", "unlock", "funding", "partnership"]
+SQL_HIGH_RISK = ["delisting", "incident", "regulatory", "deposit_withdrawal"]
+SQL_METRIC_KEYS = [
+    (["open_interest", "open interest"], ["open_interest", "open-interest"], ["open_interest", "openInterest", "value"]),
+    (["funding"], ["funding"], ["last_funding_rate", "funding_rate", "lastFundingRate", "fundingRate", "value"]),
+    (["liquidation"], ["liquidation"], ["liquidation", "liquidations", "liquidation_value", "notional", "value"]),
+]
+SQL_OTHER_METRIC = ["metric_value", "value"]
+SQL_RANKED = ["listing", "delisting", "remove", "suspend", "withdrawal", "deposit", "hack", "exploit", "incident", "security", "regulatory", "sec", "unlock", "governance", "proposal", "partnership", "funding", "open interest"]
+SQL_TYPES = [
+    ("delisting", ["delist", "remove trading pair", "trading pair removal"]),
+    ("listing", ["list", "listing", "new trading pair"]),
+    ("deposit_withdrawal", ["deposit", "withdrawal", "suspend deposits", "suspend withdrawals"]),
+    ("incident", ["exploit", "hack", "breach", "incident", "outage", "halt"]),
+    ("regulatory", ["sec", "cftc", "lawsuit", "regulator", "regulatory", "sanction"]),
+    ("token_unlock", ["unlock", "vesting"]),
+    ("governance", ["governance", "proposal", "vote"]),
+    ("partnership", ["partnership", "integrates", "collaboration"]),
+    ("funding_shift", ["funding rate", "open interest", "liquidation"]),
+    ("social_backlash", ["backlash", "criticism", "controversy"]),
+    ("social_hype", ["hype", "viral", "surge in mentions"]),
+    ("macro_event", ["fomc", "inflation", "cpi", "rate cut", "fed"]),
+]
+SQL_FORBIDDEN = ["buy", "sell", "long", "short", "position_size", "live_ready", "execution_approved"]
+SQL_EMITTED = "normalized_market_slice_v1"
+SQL_PROJECTIONS = ["market_data_quality_summary_key", "market_feature_delta_key", "market_feature_delta_summary_key", "market_regime_context_key", "symbol_universe_snapshot_key"]
+SQL_RANKS = ["available_symbol_context", "nearest_available", "symbol_context_only", "stale_but_usable", "available", "available_general_context", "pending", "unavailable"]
+SQL_FLAGS = ["time_mismatch", "symbol_ambiguity", "source_claim_conflict", "rumor_vs_official", "title_body_mismatch", "evidence_weak"]
+SQL_STOPWORDS = ["about", "after", "amid", "from", "into", "over", "that", "this", "with", "will"]
+SQL_WIDTHS = {"minutes": 1800000, "hours": 21600000, "day": 86400000, "multi_day": 259200000, "structural": 1209600000}
+
 _UP, _LOW = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
 low = lambda x: f"translate({x}, {_UP}, {_LOW})"
 up = lambda x: f"translate({x}, {_LOW}, {_UP})"
@@ -248,8 +280,8 @@ isin = lambda x, words: f"{x} IN (" + ", ".join(f"'{w}'" for w in words) + ")"
 _RAW = "list_transform(coalesce(symbol_candidates, CAST([] AS VARCHAR[])), lambda s: " + up(trim("s")) + ")"
 _SYMBOLS = f"list_sort(list_distinct(list_filter({_RAW}, lambda s: regexp_full_match(s, '[A-Z0-9]{{1,12}}'))))"
 _SOURCE = f"CASE WHEN {trim(txt('body'))} = '' THEN {txt('title')} ELSE body END"
-_EVIDENCE = f"list_slice(list_filter(list_transform(string_split_regex({_SOURCE}, '[.\n]'), lambda s: {trim('s')}), lambda s: strlen(s) >= 12 AND {has(low('s'), rules.EVIDENCE)}), 1, 3)"
-_TYPE = "CASE " + " ".join(f"WHEN {has('t', w)} THEN '{n}'" for n, w in rules.TYPES) + " ELSE 'other' END"
+_EVIDENCE = f"list_slice(list_filter(list_transform(string_split_regex({_SOURCE}, '[.\n]'), lambda s: {trim('s')}), lambda s: strlen(s) >= 12 AND {has(low('s'), SQL_EVIDENCE)}), 1, 3)"
+_TYPE = "CASE " + " ".join(f"WHEN {has('t', w)} THEN '{n}'" for n, w in SQL_TYPES) + " ELSE 'other' END"
 _KIND = lambda *names: isin("event_type", names)
 _E = "e AS (SELECT DISTINCT * FROM raw_events)"
 _A = f"""
@@ -269,7 +301,7 @@ _A = f"""
   SELECT *, CASE WHEN confidence >= 0.8::DOUBLE THEN 'high' WHEN confidence >= 0.55::DOUBLE THEN 'medium' ELSE 'low' END AS confidence_band,
     CASE WHEN len(flags) > 0 THEN 'conflicted' WHEN confidence >= 0.8::DOUBLE THEN 'high_confidence_structured'
       WHEN len(symbols) = 0 AND confidence >= 0.45::DOUBLE THEN 'general_market_context' WHEN confidence >= 0.55::DOUBLE THEN 'low_confidence_structured'
-      WHEN {_KIND(*rules.HIGH_RISK)} THEN 'unsupported_or_weak' ELSE 'irrelevant_or_noise' END AS decision,
+      WHEN {_KIND(*SQL_HIGH_RISK)} THEN 'unsupported_or_weak' ELSE 'irrelevant_or_noise' END AS decision,
     CASE WHEN contains({txt('source_category')}, 'official') OR contains({txt('source_category')}, 'project') THEN 0.72::DOUBLE WHEN event_type = 'other' THEN 0.35::DOUBLE ELSE 0.58::DOUBLE END AS novelty_score FROM a3
 )"""
 _PACK = f"""
@@ -282,7 +314,7 @@ WITH {_E}, r AS (
 n AS (SELECT *, {trim(f"regexp_replace(raw, '{_WS}+', ' ', 'g')")} AS excerpt FROM u),
 k AS (SELECT *, row_number() OVER (PARTITION BY rid, {low('excerpt')} ORDER BY ord) AS dup FROM n WHERE length(excerpt) >= 12),
 c AS (
-  SELECT *, CASE WHEN ord = 1 THEN 10 ELSE 0 END + bonus + {' + '.join(f"CASE WHEN contains({low('excerpt')}, '{w}') THEN 4 ELSE 0 END" for w in rules.RANKED)}
+  SELECT *, CASE WHEN ord = 1 THEN 10 ELSE 0 END + bonus + {' + '.join(f"CASE WHEN contains({low('excerpt')}, '{w}') THEN 4 ELSE 0 END" for w in SQL_RANKED)}
     + 3 * len(list_filter({_RAW}, lambda y: y <> '' AND contains({up('excerpt')}, y))) AS score FROM k WHERE dup = 1
 ), o AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, ord) AS pos FROM c)
 SELECT event_id, 'E' || pos AS rank, substring(excerpt, 1, 420) AS excerpt, CAST(score AS INTEGER) AS score FROM o WHERE pos <= 10"""
@@ -305,7 +337,7 @@ _BODY = r"CASE WHEN json_valid(body) AND regexp_matches(coalesce(body, ''), '^\s
 _VALUE = lambda keys: "coalesce(" + ", ".join(f"CASE WHEN regexp_full_match(json_extract_string(j, '$.{k}'), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') AND isfinite(TRY_CAST(json_extract_string(j, '$.{k}') AS DOUBLE)) THEN TRY_CAST(json_extract_string(j, '$.{k}') AS DOUBLE) END" for k in keys) + ")"
 _METRICS = f"""
 WITH {_E}, n AS (SELECT event_id, coalesce(event_category_hint, content_kind, 'unknown') AS metric_name, source_id AS venue, {low(txt('source_id'))} AS src, {_BODY} AS j, {_SYMBOLS} AS symbols FROM e WHERE {_NUM}),
-v AS (SELECT *, CASE {' '.join(f"WHEN {has(low('metric_name'), a)} OR {has('src', b)} THEN {_VALUE(k)}" for a, b, k in rules.METRIC_KEYS)} ELSE {_VALUE(rules.OTHER_METRIC)} END AS value FROM n)
+v AS (SELECT *, CASE {' '.join(f"WHEN {has(low('metric_name'), a)} OR {has('src', b)} THEN {_VALUE(k)}" for a, b, k in SQL_METRIC_KEYS)} ELSE {_VALUE(SQL_OTHER_METRIC)} END AS value FROM n)
 SELECT event_id, metric_name, venue, value, unnest(CASE WHEN len(symbols) = 0 THEN [NULL] ELSE symbols END) AS symbol FROM v"""
 _TRACE = f"""
 WITH {_E}, r AS (SELECT event_id, array_to_string(list_sort(list_distinct(list_filter({_RAW}, lambda s: s <> ''))), ',') AS raw_mentions, {_SYMBOLS} AS y FROM e),
@@ -322,7 +354,7 @@ _TIME = lambda ms, f: f"strftime(make_timestamp(({ms}) * 1000), '{f}')"  # noqa:
 _SEGMENT = lambda x: f"CASE WHEN regexp_replace({x}, '[^A-Za-z0-9._-]', '_', 'g') IN ('', '.', '..') THEN '_' ELSE regexp_replace({x}, '[^A-Za-z0-9._-]', '_', 'g') END"
 _KEY_ERROR = lambda k: rf"CASE WHEN {k} IS NULL OR {k} = '' THEN 'empty' WHEN regexp_matches({k}, '^\s|\s$') THEN 'edge_space' WHEN strlen({k}) > 1024 THEN 'too_long' WHEN {k} LIKE '/%' OR {k} LIKE 's3://%' THEN 'absolute' WHEN regexp_matches({k}, '[?#\\\x00-\x20\x7f]') THEN 'bad_character' WHEN regexp_matches({k}, '(^|/)(\.\.?)?(/|$)') THEN 'bad_segment' END"
 _BLANK = lambda x: f"({x} IS NULL OR {trim(x)} = '')"
-_TERMS = r"(^|[^A-Za-z0-9_])(" + "|".join(gates.FORBIDDEN) + r")($|[^A-Za-z0-9_])"
+_TERMS = r"(^|[^A-Za-z0-9_])(" + "|".join(SQL_FORBIDDEN) + r")($|[^A-Za-z0-9_])"
 _BAD = lambda c: f"coalesce(regexp_matches({c}, '(?i){_TERMS}'), false)"
 #: Two passes, as neighbouring terms share the character between them.
 _REDACT = lambda c: f"regexp_replace(regexp_replace({c}, '(?i){_TERMS}', '\\1[blocked_output_term]\\3', 'g'), '(?i){_TERMS}', '\\1[blocked_output_term]\\3', 'g')"
@@ -346,9 +378,9 @@ n AS (SELECT c.event_id, c.s, count(DISTINCT m.symbol || ':' || m.venue) AS n FR
 t AS (SELECT c.*, coalesce(n.n, 0) AS n FROM c LEFT JOIN n ON c.event_id = n.event_id AND c.s = n.s),
 z AS (SELECT *, CASE WHEN n = 0 THEN 6 WHEN s = base_ms THEN 1 WHEN base_ms - s > 900000 THEN 4 ELSE 2 END AS r FROM t),
 best AS (SELECT event_id, min(r) AS r, count(*) AS n_windows, min(s) AS first_window_ms, CAST(sum(n) AS BIGINT) AS n_slices FROM z GROUP BY event_id)
-SELECT p.event_id, coalesce([{', '.join(f"'{r}'" for r in market.RANKS)}][r], 'pending') AS status, coalesce(n_windows, 0) AS n_windows, first_window_ms, coalesce(n_slices, 0) AS n_slices
+SELECT p.event_id, coalesce([{', '.join(f"'{r}'" for r in SQL_RANKS)}][r], 'pending') AS status, coalesce(n_windows, 0) AS n_windows, first_window_ms, coalesce(n_slices, 0) AS n_slices
 FROM p LEFT JOIN best ON p.event_id = best.event_id"""
-_SIG = f"list_filter(string_split_regex({low(txt('title'))}, '[^a-z0-9]+'), lambda w: strlen(w) >= 4 AND w NOT IN ({', '.join(f"'{w}'" for w in stories.STOPWORDS)}))"
+_SIG = f"list_filter(string_split_regex({low(txt('title'))}, '[^a-z0-9]+'), lambda w: strlen(w) >= 4 AND w NOT IN ({', '.join(f"'{w}'" for w in SQL_STOPWORDS)}))"
 _HINT = short(
     "story_hint", f"coalesce({_TIME(f'coalesce({_PUBLISHED}, fetched_at_ms)', '%Y-%m-%d')}, '')", "event_type",
     "CASE WHEN len(symbols) > 0 THEN array_to_string(symbols, ',') ELSE 'general' END",
@@ -363,7 +395,7 @@ _MERGED = _STORY + f""", g AS (
 ), t AS (
   SELECT story_hint_key, string_agg(coalesce(trust_tier, 'unknown') || '=' || n, ',' ORDER BY trust_tier NULLS FIRST) AS trust_mix
   FROM (SELECT story_hint_key, trust_tier, count(*) AS n FROM s GROUP BY ALL) GROUP BY story_hint_key
-), o AS (SELECT *, list_filter([{', '.join(f"'{x}'" for x in stories.FLAGS)}], lambda x: list_contains(f, x)) AS fl FROM g)
+), o AS (SELECT *, list_filter([{', '.join(f"'{x}'" for x in SQL_FLAGS)}], lambda x: list_contains(f, x)) AS fl FROM g)
 SELECT o.story_hint_key, {short('story', 'o.story_hint_key', "'v1'")} AS cluster_id, event_count, source_count,
   CASE WHEN len(types) = 1 THEN types[1] ELSE 'mixed_topic_conflict' END AS primary_topic, array_to_string(types, ',') AS topics, array_to_string(fl, ',') AS flags,
   CASE WHEN list_contains(fl, 'source_claim_conflict') OR list_contains(fl, 'rumor_vs_official') THEN 'high' WHEN len(fl) > 0 THEN 'medium' WHEN source_count > 1 THEN 'low' ELSE 'none' END AS conflict_level,
@@ -371,15 +403,15 @@ SELECT o.story_hint_key, {short('story', 'o.story_hint_key', "'v1'")} AS cluster
 _ADMITTED = f"""
 SELECT DISTINCT i.index_key, i.canonical_manifest_key, i.l1_run_id, i.finished_at_ms, i.indexed_window_start_ms FROM l1_index i
 JOIN l1_manifest m ON i.canonical_manifest_key = m.manifest_key JOIN l1_report r ON m.report_key = r.report_key
-WHERE i.status = 'success' AND i.schema_version = 'l1_index_pointer_v1' AND i.schema_version_emitted = '{market.EMITTED}'
+WHERE i.status = 'success' AND i.schema_version = 'l1_index_pointer_v1' AND i.schema_version_emitted = '{SQL_EMITTED}'
   AND (i.indexed_window_start_ms IS NULL OR (i.indexed_window_start_ms >= i.input_time_range_start_ms AND i.indexed_window_end_ms <= i.input_time_range_end_ms))
-  AND m.schema_version = 'l1_manifest_v1' AND m.status = 'success' AND m.l1_run_id = i.l1_run_id AND m.schema_version_emitted = '{market.EMITTED}'
+  AND m.schema_version = 'l1_manifest_v1' AND m.status = 'success' AND m.l1_run_id = i.l1_run_id AND m.schema_version_emitted = '{SQL_EMITTED}'
   AND m.input_time_range_start_ms <= i.input_time_range_start_ms AND m.input_time_range_end_ms >= i.input_time_range_end_ms
   AND len(m.output_object_keys) > 0 AND m.output_record_count = m.slice_count_total
   AND r.schema_version = 'normalization_report_v1' AND r.status = 'success' AND r.l1_run_id = i.l1_run_id
   AND r.input_time_range_start_ms = m.input_time_range_start_ms AND r.input_time_range_end_ms = m.input_time_range_end_ms
-  AND r.schema_version_emitted = '{market.EMITTED}' AND r.manifest_key = i.canonical_manifest_key
-  AND {' AND '.join(f'r.{c} IS NOT DISTINCT FROM m.{c}' for c in ('output_object_keys', *market.PROJECTIONS))}"""
+  AND r.schema_version_emitted = '{SQL_EMITTED}' AND r.manifest_key = i.canonical_manifest_key
+  AND {' AND '.join(f'r.{c} IS NOT DISTINCT FROM m.{c}' for c in ('output_object_keys', *SQL_PROJECTIONS))}"""
 
 
 _DIRECT = f"""len(evidence) = 0 AND coalesce(len(symbol_candidates), 0) = 1 AND {_SCOPE} = 'direct_asset' AND coalesce(direct_asset_count, 0) = 1
@@ -393,7 +425,7 @@ UNION ALL SELECT event_id, CAST(generate_subscripts(ev, 1) - 1 AS INTEGER), 'sou
 
 
 def oracle_sql() -> dict[str, str]:
-    widths = " ".join(f"WHEN '{k}' THEN {w}" for k, w in packets.WIDTHS.items())
+    widths = " ".join(f"WHEN '{k}' THEN {w}" for k, w in SQL_WIDTHS.items())
     decay = f"CASE WHEN {_KIND('incident', 'regulatory')} THEN 'multi_day' WHEN event_type = 'macro_event' THEN 'day' ELSE 'hours' END"
     lost = "list_filter(source_event_ids, lambda s: " + trim("s") + " <> '')[1]"
     named = lambda c: f"CASE WHEN NOT {_BLANK(c)} THEN {c} END"

@@ -8,47 +8,54 @@ that another batch stored is stored no second time.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tidemark.operators.late import HOUR, Lateness
-from tidemark.session import hadoop_fs
+from tidemark.session import scratch, written
+from tidemark.sources.buckets import Buckets
 
 
 class KeyedSink:
-    """Rows under unique keys in a folder, one sub-folder per batch.
+    """Rows under unique keys, in hash buckets of the key, one sub-folder per batch.
 
     A key is stored once. A later row with the same key and content is ignored; one with
     other content goes to `conflicts` and changes nothing. Within a batch the row with
-    the smallest content hash counts. Null keys are refused as conflicts.
+    the smallest content hash counts. Null keys are refused as conflicts. A batch meets
+    stored rows in its keys' buckets, where they lie; all rows have the columns of the
+    first batch.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str):
-        self.spark, self.path, self.key = spark, path.rstrip("/"), key
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 16):
+        self.spark, self.path, self.key, self.buckets = spark, path.rstrip("/"), key, buckets
 
-    def _old(self, batch: str, schema) -> DataFrame:
-        fs, at = hadoop_fs(self.spark, f"{self.path}/rows")
-        if not fs.exists(at):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(f"{self.path}/rows").where(F.col("batch") != batch)
+    def _table(self, schema: StructType) -> Buckets:
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        return Buckets(self.spark, f"{self.path}/stored", ddl, self.key, self.buckets)
 
     def put(self, rows: DataFrame, batch: str) -> None:
         """batch: a name that only this batch and its repetitions have."""
+        number = zlib.crc32(batch.encode()) & 0x7FFFFFFF
         cols = [c for c in rows.columns if c != self.key]
         sha = F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256)
-        rows = rows.withColumn("_sha", sha)
-        one = rows.where(F.col(self.key).isNotNull()).groupBy(self.key).agg(F.min(F.struct("_sha", *cols)).alias("m")).select(self.key, "m.*")
-        old = self._old(batch, one.schema).select(F.col(self.key), F.col("_sha").alias("_old"))
-        new = one.join(old, self.key, "left_anti")
-        known = old.unionByName(new.select(self.key, F.col("_sha").alias("_old")))
-        clash = rows.join(known, self.key, "left").where(F.col("_old").isNull() | (F.col("_old") != F.col("_sha"))).drop("_old").distinct()
-        clash.write.mode("overwrite").parquet(f"{self.path}/conflicts/batch={batch}")
-        new.write.mode("overwrite").parquet(f"{self.path}/rows/batch={batch}")
+        with scratch(self.spark):
+            rows = written(rows.withColumn("_sha", sha), "rows")
+            one = written(rows.where(F.col(self.key).isNotNull()).groupBy(self.key).agg(F.min(F.struct("_sha", *cols)).alias("m")).select(self.key, "m.*"), "one")
+            table = self._table(one.schema)
+            old = self.spark.table(table.name).where(F.col("batch") != number).select(self.key, "_sha")
+            old = written(old.join(one.select(self.key), self.key, "left_semi").select(self.key, F.col("_sha").alias("_old")), "old")
+            new = one.join(old, self.key, "left_anti")
+            known = old.unionByName(new.select(self.key, F.col("_sha").alias("_old")))
+            clash = rows.join(known, self.key, "left").where(F.col("_old").isNull() | (F.col("_old") != F.col("_sha"))).drop("_old").distinct()
+            clash.write.mode("overwrite").parquet(f"{self.path}/conflicts/batch={batch}")
+            table.put(new, number)
 
     def rows(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/rows").drop("batch", "_sha")
+        return self.spark.read.parquet(f"{self.path}/stored/rows").drop("batch", "_sha")
 
     def conflicts(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/conflicts").drop("batch", "_sha")
