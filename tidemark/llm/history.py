@@ -34,7 +34,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemark.session import scratch, written
+from tidemark.session import give_back, removed, scratch, written
 from tidemark.sources.buckets import Buckets, Markers
 
 WORD = re.compile(r"[^\W_]+")
@@ -320,7 +320,7 @@ class History:
         if past:
             fresh = fresh.join(past["seen"], "id", "left_anti")
         fresh = written(fresh, "ids")
-        signed = written(sign(narrowed(bodies, fresh, "id"), self.rule), "signed")
+        signed = written(sign(narrowed(bodies, fresh, "id"), self.rule), "banded")
         text = signed.select("id", "text_key").groupBy("id").agg(F.min("text_key").alias("text_key"))
         fresh = fresh.join(text, "id", "left").select(
             "id", "text_key", F.struct("at", "id").alias("rank"), F.array_compact(F.array_union(F.coalesce("keys", F.array().cast("array<binary>")), F.array(text_id(F.col("text_key"))))).alias("keys")
@@ -332,6 +332,10 @@ class History:
         texts = narrowed(signed, stand, "id", "text_key")
         put("pending", texts.select(F.explode("bands").alias("band"), "text_key", *MARK))
         new = self.tables["pending"].rows([batch])
+        # from here on a batch's bands are needed in their buckets only
+        texts = written(texts.select("text_key", "words", "bits"), "texts")
+        removed(self.spark, signed)
+        give_back(self.spark)
 
         gone = None
         if past:
