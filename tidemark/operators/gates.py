@@ -100,7 +100,7 @@ def lines_of(objects: DataFrame, wanted: DataFrame) -> DataFrame:
     Every object is cut into lines once, whatever the number of lines wanted of it. A
     last line without a newline counts, an empty one after the last newline doesn't.
     """
-    text = F.regexp_replace(F.decode("content", "UTF-8"), "\n$", "")
+    text = F.regexp_replace(F.decode("content", "UTF-8"), r"\n\z", "")
     cut = objects.join(wanted.select("object_key").distinct(), "object_key", "left_semi").where(F.octet_length("content") > 0)
     lines = cut.select("object_key", F.posexplode(F.split(text, "\n", -1)).alias("i", "line")).select("object_key", (F.col("i") + 1).alias("line_no"), "line")
     return wanted.join(lines, ["object_key", "line_no"], "left")

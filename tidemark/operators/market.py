@@ -120,9 +120,9 @@ def merged_snapshots(snapshots: DataFrame, by: list[str], order: list[str], base
     """
     at = F.struct(*order)
     rank = F.array_position(F.array(*map(F.lit, RANKS)), F.col("status"))
-    first = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct(at.alias("at"), F.col(c).alias("v"))))["v"].alias(c)
-    lists = F.array_sort(F.collect_list(F.when(F.col(joined).isNotNull(), F.struct(at.alias("at"), F.col(joined).alias("v")))))
+    first = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct(at.alias("_at"), F.col(c).alias("_v"))))["_v"].alias(c)
+    lists = F.array_sort(F.collect_list(F.when(F.col(joined).isNotNull(), F.struct(at.alias("_at"), F.col(joined).alias("_v")))))
     return snapshots.groupBy(*by).agg(
-        F.min(F.struct(at.alias("at"), *base)).alias("m"), F.min(F.when(rank > 0, rank)).cast("int").alias("r"), *[first(k) for k in keys],
-        F.flatten(F.transform(lists, lambda x: x["v"])).alias(joined), F.count("*").alias("n_merged"),
-    ).select(*by, *[f"m.{c}" for c in base], F.element_at(F.array(*map(F.lit, RANKS)), F.col("r")).alias("status"), *keys, joined, "n_merged")
+        F.min(F.struct(at.alias("_at"), *base)).alias("m"), F.min(F.when(rank > 0, rank)).cast("int").alias("r"), *[first(k) for k in keys],
+        F.flatten(F.transform(lists, lambda x: x["_v"])).alias(joined), F.count("*").alias("n_merged"),
+    ).select(*by, *[f"m.{c}" for c in base], F.when(F.col("r").isNotNull(), F.element_at(F.array(*map(F.lit, RANKS)), F.coalesce("r", F.lit(1)))).alias("status"), *keys, joined, "n_merged")

@@ -21,13 +21,13 @@ class Buckets:
     it was made with, whatever `buckets` says then.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, by: str, buckets: int = 32):
+    def __init__(self, spark: SparkSession, path: str, schema: str, by: str, buckets: int = 32, compression: str = "zstd"):
         self.spark, self.path, self.schema, self.by = spark, path.rstrip("/"), schema, by
         self.buckets = self._kept(buckets)
         self.name = "tidemark_" + hashlib.md5(self.path.encode()).hexdigest()
         self.columns = StructType.fromDDL(schema).names
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name} ({schema}, batch INT) USING parquet OPTIONS (compression 'zstd') PARTITIONED BY (batch)"
+            f"CREATE TABLE IF NOT EXISTS {self.name} ({schema}, batch INT) USING parquet OPTIONS (compression '{compression}') PARTITIONED BY (batch)"
             f" CLUSTERED BY ({by}) INTO {self.buckets} BUCKETS LOCATION '{self.path}/rows'"
         )
 
