@@ -179,7 +179,7 @@ def _close(rule: Likeness) -> Column:
     either = lambda c: F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))
     differ = F.bit_count(F.shiftrightunsigned(either("mark"), 8)) + F.bit_count(either("more"))
     size = lambda s: F.col(f"mark_{s}").bitwiseAND(F.lit(255))
-    most = int(min(rule.bands * rule.rows, MARK_BITS) * (1.1 - rule.near) / 2)
+    most = int(min(rule.bands * rule.rows, MARK_BITS) * (1.08 - rule.near) / 2)
     return (F.abs(size("a") - size("b")) <= classes) & (differ <= most)
 
 
@@ -199,27 +199,27 @@ def _across(mine: DataFrame, theirs: DataFrame, rule: Likeness) -> DataFrame:
     """The same for large buckets: one side is dealt to SALTS parts, the other copied to all of them."""
     a = _side(mine, "a", F.pmod("text_key", F.lit(SALTS)).cast("int").alias("salt"))
     b = _side(theirs, "b", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    return _met(a, b, ["band", "salt"], rule).distinct()
+    return _met(a, b, ["band", "salt"], rule)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, other: DataFrame, rule: Likeness) -> DataFrame:
-    """The (materialised) pairs (a of texts, b of other) that are alike: first by all bits, then exactly.
+    """The pairs (a of texts, b of other), each once, that are alike: first by all bits, then exactly.
 
-    Bits and words are looked up by text, and only of texts in the pairs.
+    Words are looked up of the texts only that are left by then.
     """
-    n = rule.bands * rule.rows
 
-    def with_(rows: DataFrame, source: DataFrame, key: str, what: str) -> DataFrame:
-        found = narrowed(source.select(F.col("text_key").alias(key), F.col(what).alias(f"{what}_{key}")), rows, key).dropDuplicates([key])
-        return rows.join(found, key)
+    def side(source: DataFrame, key: str, what: str) -> DataFrame:
+        return source.select(F.col("text_key").alias(key), F.col(what).alias(f"{what}_{key}"))
 
     @F.pandas_udf("boolean")
     def same(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([alike(p, q, rule) for p, q in zip(x, y)])
 
     differ = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda s, x: s + x)
-    close = written(with_(with_(pairs, texts, "a", "bits"), other, "b", "bits").where(differ <= int(n * (1 - rule.near) / 2)).select("a", "b"), "close")
-    return with_(with_(close, texts, "a", "words"), other, "b", "words").where(same("words_a", "words_b")).select("a", "b")
+    both = pairs.repartition("a").dropDuplicates().join(side(texts, "a", "bits"), "a").join(side(other, "b", "bits"), "b")
+    close = written(both.where(differ <= int(rule.bands * rule.rows * (1 - rule.near) / 2)).select("a", "b"), "close")
+    words = lambda source, key: narrowed(side(source, key, "words"), close, key)
+    return close.join(words(texts, "a"), "a").join(words(other, "b"), "b").where(same("words_a", "words_b")).select("a", "b")
 
 
 def settle(held: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -280,7 +280,9 @@ class History:
 
     def __init__(self, spark: SparkSession, path: str, rule: Likeness = Likeness(), buckets: int = 16):
         self.spark, self.path, self.rule = spark, path.rstrip("/"), rule
-        self.tables = {n: Buckets(spark, f"{self.path}/{n}", *spec, buckets) for n, spec in (TABLES | PENDING).items()}
+        # hashes don't shrink by compression
+        kind = lambda n: "none" if n in ("bands", "pending") else "zstd"
+        self.tables = {n: Buckets(spark, f"{self.path}/{n}", *spec, buckets, kind(n)) for n, spec in (TABLES | PENDING).items()}
         self.markers = Markers(spark, self.path)
 
     def table(self, name: str) -> DataFrame:
@@ -382,7 +384,7 @@ class History:
         hot = written(large.distinct(), "hot")
         if not hot.isEmpty():
             some = some.unionByName(_across(narrowed(mine, hot, "band"), narrowed(theirs, hot, "band"), self.rule))
-        return written(some.distinct(), "pairs")
+        return some
 
     def _settled(self, held: DataFrame, texts: DataFrame, new: DataFrame, fresh: DataFrame) -> DataFrame:
         """(rank, of) of the batch's records that repeat one accepted in the batch.
@@ -409,8 +411,8 @@ class History:
 
         shared = self._shared(new)
         some = shared.where(F.col("n") <= self.rule.bucket)
-        pairs = _met(_side(some, "a"), _side(some, "b"), ["band"], self.rule).where("a < b").distinct()
-        near = written(both(_verified(written(pairs, "pairs"), texts, texts, self.rule)), "near")
+        pairs = _met(_side(some, "a"), _side(some, "b"), ["band"], self.rule).where("a < b")
+        near = written(both(_verified(pairs, texts, texts, self.rule)), "near")
         crowded = written(shared.where(F.col("n") > self.rule.bucket).select("band", "text_key", *MARK), "crowded")
         if crowded.isEmpty():
             return resolve(near)
@@ -429,8 +431,8 @@ class History:
             leaders = written(leaders.select("band", "text_key", *MARK), "leaders")
             if leaders.isEmpty():
                 return resolve(near) if repeats is None else repeats
-            close = _across(rest, leaders, self.rule).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            found = written(both(_verified(written(close, "pairs"), texts, texts, self.rule)).join(near, ["key", "other"], "left_anti").distinct(), "found")
+            close = _across(rest, leaders, self.rule).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            found = written(both(_verified(close, texts, texts, self.rule)).join(near, ["key", "other"], "left_anti").distinct(), "found")
             more = not found.isEmpty()
             if more:
                 near = written(near.unionByName(found), "near")
