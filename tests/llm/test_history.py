@@ -74,7 +74,7 @@ def sequential(records):
 
 
 def feed(spark, path, records, batches, rule=Likeness()):
-    store, out = History(spark, path, rule), []
+    store, out = History(spark, path, rule, 4), []
     size = -(-len(records) // batches)
     bodies = spark.createDataFrame([(i, " ".join(t)) for i, _, t in records], "id string, body string")
     for n in range(batches):
