@@ -102,13 +102,19 @@ def json_type(raw: Column) -> Column:
     )
 
 
+def _plain(raw: Column) -> Column:
+    """The string that a JSON string spells; only one with escapes needs a parser."""
+    return F.when(~F.contains(raw, F.lit("\\")), F.substr(raw, F.lit(2), F.length(raw) - 2)).otherwise(F.get_json_object(F.concat(F.lit('{"v":'), raw, F.lit("}")), "$.v"))
+
+
 def _typed(raw: Column, kind: str) -> Column:
     """A field's JSON text as the wanted type; null if it can't be."""
-    scalar = F.when(~F.substring(raw, 1, 1).isin("[", "{"), F.get_json_object(F.concat(F.lit('{"v":'), raw, F.lit("}")), "$.v"))
+    first = F.substring(raw, 1, 1)
+    if kind.startswith("array"):
+        return F.when(first == "[", F.from_json(raw, kind, {"mode": "PERMISSIVE"}))
+    scalar = F.when(first == '"', _plain(raw)).when(~first.isin("[", "{", "n"), raw)
     if kind == "string":
         return scalar
-    if kind.startswith("array"):
-        return F.when(F.substring(raw, 1, 1) == "[", F.from_json(raw, kind, {"mode": "PERMISSIVE"}))
     if kind in ("bigint", "int"):
         number = scalar.try_cast("decimal(38,9)")
         return F.when(number == F.floor(number), number.try_cast(kind))
@@ -153,10 +159,11 @@ def fields(table: DataFrame, target: dict[str, str]) -> Column:
     typed = []
     for k, t in target.items():
         c = F.col(column_name(k))
-        value = F.to_json(c) if t.startswith("array") else F.to_json(F.array(c)) if t == "string" else c.cast("string")
+        # a quote before a string's value keeps it apart from a number of the same text
+        value = F.to_json(c) if t.startswith("array") else F.concat(F.lit('"'), c) if t == "string" else c.cast("string")
         kind = "array" if t.startswith("array") else names.get(t, t)
-        typed.append(F.when(c.isNotNull(), F.struct(F.lit(k).alias("name"), F.lit(kind).alias("type"), (F.substr(value, F.lit(2), F.length(value) - 2) if t == "string" else value).alias("value"))))
-    text = lambda x: F.when(json_type(x) == "number", x.cast("double").cast("string")).when(json_type(x) == "string", F.regexp_replace(F.to_json(F.array(_typed(x, "string"))), r"^\[|\]$", "")).otherwise(x)
+        typed.append(F.when(c.isNotNull(), F.struct(F.lit(k).alias("name"), F.lit(kind).alias("type"), value.alias("value"))))
+    text = lambda x: F.when(F.substring(x, 1, 1) == '"', F.concat(F.lit('"'), _plain(x))).when(json_type(x) == "number", x.cast("double").cast("string")).otherwise(x)
     entries = lambda c: F.coalesce(F.map_entries(F.from_json(c, "map<string,string>")), F.array().cast("array<struct<key string, value string>>"))
     rest = F.transform(F.concat(entries(RESCUED), entries(OBJECTS)), lambda e: F.struct(e["key"].alias("name"), json_type(e["value"]).alias("type"), text(e["value"]).alias("value")))
     return F.concat(F.array_compact(F.array(*typed)).cast(what), rest.cast(what))
