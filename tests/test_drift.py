@@ -53,9 +53,8 @@ def test_ingest_keeps_the_whole_record_and_promotion_replays(spark):
     assert json.loads(one[drift.RESCUED]) == {"n": "7.0", "w": '"2.5"', "other": "null"}
     assert two.n is None and json.loads(two[drift.RESCUED]) == {"n": '"no"', "num": "9", "tags": '"b"', "extra.deep": "[1]"}
     assert json.loads(three[drift.RESCUED]) == {"w": "1.50", "big": "12345678901234567890123", "n": "null", "e": "{}"}
-    for field, names in (("n", ["n", "num"]), ("w", ["w"])):
-        table = drift.promote(table, field, target[field], names)
-    one, two, three = drift.promote(table, "extra.deep", "array<int>", ["extra.deep"]).orderBy("line_number").collect()
+    table = drift.promote(table, {"n": ("bigint", ["n", "num"]), "w": ("double", ["w"])})
+    one, two, three = drift.promote(table, {"extra.deep": ("array<int>", ["extra.deep"])}).orderBy("line_number").collect()
     assert (one.n, one.w, three.w) == (7, 2.5, 1.5) and json.loads(one[drift.RESCUED]) == {"other": "null"}
     assert two.n == 9 and two.extra_deep == [1] and set(json.loads(two[drift.RESCUED])) == {"n", "tags"}
 

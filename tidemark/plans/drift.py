@@ -29,7 +29,7 @@ TARGETS = {
 
 def _ingested(spark: SparkSession, d: str, kind: str) -> DataFrame:
     lines = table(spark, d, "raw_object_lines").where(F.col("record_kind") == kind)
-    return drift.ingest(written(drift.parse(lines, ID_FIELDS), "lines"), TARGETS[kind])
+    return written(drift.ingest(drift.parse(lines, ID_FIELDS), TARGETS[kind]), "ingested")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -40,9 +40,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 def _table(spark: SparkSession, d: str, kind: str) -> DataFrame:
     rows = _ingested(spark, d, kind)
     names = drift.aliases(drift.changes(drift.described(rows, TARGETS[kind])), TARGETS[kind])
-    out = rows.where("ok")
-    for field, as_type in TARGETS[kind].items():
-        out = drift.promote(out, field, as_type, [field, *names.get(field, [])])
+    out = drift.promote(rows.where("ok"), {k: (t, [k, *names.get(k, [])]) for k, t in TARGETS[kind].items()})
     return out.drop("record_kind", "ok", drift.OBJECTS)
 
 

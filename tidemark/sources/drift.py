@@ -146,7 +146,9 @@ def ingest(parsed: DataFrame, target: dict[str, str]) -> DataFrame:
     """
     held = F.map_from_arrays("names", "raws")
     rows = parsed.select(*RECORD, "ok", F.when(F.col("ok"), held).alias("_f"), F.when(F.col("ok") & (F.size("objects") > 0), F.to_json("objects")).alias(OBJECTS))
-    rows = rows.withColumns({column_name(k): _same(F.col("_f")[k], t) for k, t in target.items()})
+    raws = {k: f"_raw{i}" for i, k in enumerate(target)}
+    rows = rows.withColumns({c: F.col("_f")[k] for k, c in raws.items()})
+    rows = rows.withColumns({column_name(k): _same(F.col(raws[k]), t) for k, t in target.items()}).drop(*raws.values())
     drop = F.array_compact(F.array(*[F.when(F.col(column_name(k)).isNotNull(), F.lit(k)) for k in target]))
     rest = F.map_filter("_f", lambda k, v: ~F.array_contains(drop, k))
     return rows.withColumn(RESCUED, F.when(F.size(rest) > 0, F.to_json(F.map_from_entries(F.array_sort(F.map_entries(rest)))))).drop("_f")
@@ -227,27 +229,29 @@ def changes(rows: DataFrame, bucket_ms: int = 86_400_000) -> DataFrame:
     return rest.unionByName(named).withColumnRenamed("file", "object_key")
 
 
-def promote(table: DataFrame, field: str, kind: str, names: list[str]) -> DataFrame:
-    """Approves names of a field, its own or others: where its column is null, the first of
-    them with a rescued value that can be cast fills it and leaves the rescue column.
+def promote(table: DataFrame, approved: dict[str, tuple[str, list[str]]]) -> DataFrame:
+    """Replays rescued values into columns, for all approved fields in one pass.
 
-    The column is made if the table has none, so new fields are promoted the same way.
+    approved: of each field its type and the names, its own or others, that may fill it.
+    Where its column is null, the first of them with a rescued value that can be cast
+    fills it and leaves the rescue column. A column is made if the table has none, so
+    new fields are promoted the same way.
     """
-    col = column_name(field)
-    if col not in table.columns:
-        table = table.withColumn(col, F.lit(None).cast(kind))
-    held = F.from_json(RESCUED, "map<string,string>")
-    found, used = F.col(col), F.lit(None).cast("string")
-    for n in names:
-        value = _typed(held[n], kind)
-        used = F.coalesce(used, F.when(F.col(col).isNull() & value.isNotNull(), n))
-        found = F.coalesce(found, value)
-    rest = F.map_filter("_h", lambda k, v: ~k.eqNullSafe(F.col("_used")))
-    return (
-        table.withColumns({"_h": held, "_used": used, "_new": found})
-        .withColumns({col: F.col("_new"), RESCUED: F.when(F.col("_used").isNull(), F.col(RESCUED)).when(F.size(rest) > 0, F.to_json(rest))})
-        .drop("_h", "_used", "_new")
-    )
+    for field, (kind, _) in approved.items():
+        if column_name(field) not in table.columns:
+            table = table.withColumn(column_name(field), F.lit(None).cast(kind))
+    table = table.withColumn("_h", F.from_json(RESCUED, "map<string,string>"))
+    raws = {n: f"_raw{i}" for i, n in enumerate(dict.fromkeys(n for _, names in approved.values() for n in names))}
+    table = table.withColumns({c: F.col("_h")[n] for n, c in raws.items()})
+    hits = {}
+    for i, (field, (kind, names)) in enumerate(approved.items()):
+        tried = F.array(*[F.struct(F.lit(n).alias("n"), _typed(F.col(raws[n]), kind).alias("v")) for n in names])
+        hits[f"_hit{i}"] = F.when(F.col(column_name(field)).isNull(), F.try_element_at(F.filter(tried, lambda x: x["v"].isNotNull()), F.lit(1)))
+    table = table.withColumns(hits).withColumn("_used", F.array_compact(F.array(*[F.col(h)["n"] for h in hits])))
+    rest = F.map_filter("_h", lambda k, v: ~F.array_contains("_used", k))
+    filled = {column_name(field): F.coalesce(column_name(field), F.col(h)["v"]) for field, h in zip(approved, hits)}
+    left = F.when(F.size("_used") == 0, F.col(RESCUED)).when(F.size(rest) > 0, F.to_json(rest))
+    return table.withColumns({**filled, RESCUED: left}).drop("_h", "_used", *raws.values(), *hits)
 
 
 def aliases(renames: DataFrame, target: dict[str, str]) -> dict[str, list[str]]:
