@@ -29,7 +29,7 @@ TARGETS = {
 
 def _ingested(spark: SparkSession, d: str, kind: str) -> DataFrame:
     lines = table(spark, d, "raw_object_lines").where(F.col("record_kind") == kind)
-    return written(drift.ingest(drift.parse(lines, ID_FIELDS), TARGETS[kind]), "ingested")
+    return drift.ingest(drift.parse(lines, ID_FIELDS), TARGETS[kind])
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -38,8 +38,8 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _table(spark: SparkSession, d: str, kind: str) -> DataFrame:
-    rows = _ingested(spark, d, kind)
-    names = drift.aliases(drift.changes(drift.described(rows, TARGETS[kind])), TARGETS[kind])
+    rows = written(_ingested(spark, d, kind), "ingested")
+    names = drift.aliases(drift.changes(written(drift.described(rows, TARGETS[kind]), "described")), TARGETS[kind])
     out = drift.promote(rows.where("ok"), {k: (t, [k, *names.get(k, [])]) for k, t in TARGETS[kind].items()})
     return out.drop("record_kind", "ok", drift.OBJECTS)
 
