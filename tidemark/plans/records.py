@@ -83,7 +83,7 @@ def _payload() -> "F.Column":
 
 def packet_pointers(spark, d):
     """What would be published of each packet; the fields of storage_ref side by side."""
-    p = packets.pointers(_packet_keys(spark, d), _payload(), F.col("object_key"), "lume-intel", "structured_intel_packet_v1", F.col("market_context_ref.manifest_key"))
+    p = packets.pointers(_packet_keys(spark, d), _payload(), F.col("object_key"), "output", "structured_intel_packet_v1", F.col("market_context_ref.manifest_key"))
     return p.select("packet_id", "raw_event_id", "terminal_decision", "storage_ref.bucket", "storage_ref.key", "storage_ref.content_sha256", "manifest_key", "created_at_ms")
 
 
@@ -187,7 +187,7 @@ def oracle_sql() -> dict[str, str]:
         "recent_packet_keys": f"""WITH k AS (SELECT DISTINCT {key} AS object_key, structured_at_ms - structured_at_ms % 3600000 AS h FROM structured_packets WHERE packet_id IS NOT NULL),
   r AS (SELECT DISTINCT object_key, regexp_extract(object_key, '^.*/hour=../') AS prefix FROM k WHERE h <= 1704067200000 + 96 * 3600000 AND h > 1704067200000 + 90 * 3600000)
   SELECT object_key, prefix, CAST(pos AS INTEGER) AS pos FROM (SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY object_key) AS pos FROM r) WHERE pos <= 512""",
-        "packet_pointers": f"""SELECT packet_id, raw_event_id, terminal_decision, 'lume-intel' AS bucket, {key} AS key,
+        "packet_pointers": f"""SELECT packet_id, raw_event_id, terminal_decision, 'output' AS bucket, {key} AS key,
     'sha256:' || sha256('{{"packet_id":"' || packet_id || '","revision":' || coalesce(CAST(revision AS VARCHAR), 'null') || '}}' || chr(10)) AS content_sha256,
     market_context_ref.manifest_key AS manifest_key, structured_at_ms AS created_at_ms FROM (SELECT DISTINCT * FROM structured_packets WHERE packet_id IS NOT NULL)""",
         "merged_snapshots": f"""WITH s AS (SELECT DISTINCT * REPLACE (upper(trim(symbol, ' ')) AS symbol), list_position({ranks}, status) AS r FROM market_context_snapshots WHERE symbol IS NOT NULL AND window_start_ms IS NOT NULL)
