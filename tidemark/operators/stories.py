@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.functions.ids import short_id, utc
 from tidemark.functions.text import ascii_lower, epoch_ms, published_ms
 from tidemark.operators.rules import text
+from tidemark.session import written
 
 # Words that a title signature leaves out, and the flags in their order.
 STOPWORDS = ["about", "after", "amid", "from", "into", "over", "that", "this", "with", "will"]
@@ -82,6 +83,7 @@ def running(assessed: DataFrame, bucket_ms: int = 3_600_000) -> DataFrame:
     as many tasks as it has hours. Events without observation time come first.
     """
     rows = _members(assessed).withColumn("_b", F.floor(F.coalesce("observed_at_ms", F.lit(-1)) / F.lit(bucket_ms)))
+    rows = written(rows.select("story_hint_key", "event_id", "observed_at_ms", "source_id", "_b"), "members")  # read three times
     at = F.struct(F.coalesce("observed_at_ms", F.lit(-1)).alias("t"), "event_id")
     first = rows.groupBy("story_hint_key", "source_id").agg(F.min(at).alias("m")).select("story_hint_key", F.col("m.event_id").alias("event_id"), F.lit(1).alias("new"))
     # a story's event is the first of one source at most
