@@ -23,6 +23,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -80,8 +81,10 @@ class Model:
         at = GRID - self.centre
         self.slope = np.zeros(len(words))
         sums = np.zeros(len(at))
-        for low in range(0, len(words), CHUNK):
-            count, lean = words[low : low + CHUNK, 0], words[low : low + CHUNK, 1] - self.centre * words[low : low + CHUNK, 0]
+        seen = np.flatnonzero(words[:, 0] > 0)
+        for low in range(0, len(seen), CHUNK):
+            mine = seen[low : low + CHUNK]
+            count, lean = words[mine, 0], words[mine, 1] - self.centre * words[mine, 0]
             slope = np.zeros(len(count))
             for _ in range(steps):
                 e = exposure * np.exp(np.clip(slope[:, None] * at, -30, 30))
@@ -90,9 +93,8 @@ class Model:
                 var = np.maximum((e * at * at).sum(1) / z - mean * mean, 0)
                 slope = np.clip(slope + (lean - count * mean - slope / spread) / (count * var + 1 / spread), -3, 3)
             z = np.maximum((exposure * np.exp(np.clip(slope[:, None] * at, -30, 30))).sum(1), 1e-12)
-            seen = count > 0
-            sums += np.exp(slope[seen, None] * at + np.log(count[seen] / z[seen])[:, None]).sum(0)
-            self.slope[low : low + CHUNK] = slope
+            sums += np.exp(slope[:, None] * at + np.log(count / z)[:, None]).sum(0)
+            self.slope[mine] = slope
         self.log_z = np.log(sums) if (sums > 0).all() else np.zeros(len(at))
 
     def level(self, lean: np.ndarray, size: np.ndarray, mean: float, sd: float) -> np.ndarray:
@@ -189,7 +191,8 @@ def reading_levels(documents: DataFrame, labels: DataFrame, most_turns: int = MO
     models, before = [one] * 3, None
     for _ in range(most_turns):
         got = sums(rows, models, prior, slots)
-        models = [Model(got, [FREE, *HALVES]), Model(got, [FREE, HALVES[1]]), Model(got, [FREE, HALVES[0]])]
+        with ThreadPoolExecutor(3) as pool:
+            models = list(pool.map(lambda groups: Model(got, groups), ([FREE, *HALVES], [FREE, HALVES[1]], [FREE, HALVES[0]])))
         exposure = sum(got[g][-len(GRID) :, 0] for g in got)
         exposure = exposure / max(exposure.sum(), 1e-9)
         if before is not None and np.abs(exposure - before).sum() / 2 <= SETTLED:
