@@ -41,7 +41,7 @@ FREE, HALVES = 0, (1, 2)
 WORD = re.compile(r"[^\W\d_]+")
 MOST_JUDGED = 200_000
 #: Turns at most, and the share of all words that may still change level when they end.
-MOST_TURNS, SETTLED = 6, 0.01
+MOST_TURNS, SETTLED = 12, 0.01
 JUDGED_WEIGHT = 50.0
 
 
